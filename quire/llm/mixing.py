@@ -64,31 +64,31 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most_ep
     rows = docs if "mix_size" in docs.columns else docs.withColumn("mix_size", n_words(F.col("text")))
     tie = F.xxhash64("doc_id", "text") if "text" in docs.columns else F.xxhash64("doc_id", "mix_size")
     draw = F.xxhash64(F.lit(seed), "doc_id")
-    rows = rows.drop("mix_source_size", "mix_target", "mix_taken").withColumns({"_draw": draw, "_bucket": F.pmod(F.shiftrightunsigned(draw, 20), F.lit(buckets)).cast("int"), "_tie": tie})
-    by_bucket = checkpointed(rows.groupBy("source", "_bucket").agg(F.sum("mix_size").alias("n")))
+    rows = rows.drop("mix_source_size", "mix_target", "mix_taken").withColumns({"__quire_draw": draw, "__quire_bucket": F.pmod(F.shiftrightunsigned(draw, 20), F.lit(buckets)).cast("int"), "__quire_tie": tie})
+    by_bucket = checkpointed(rows.groupBy("source", "__quire_bucket").agg(F.sum("mix_size").alias("n")))
     goal = targets(by_bucket.select("source", F.col("n").alias("size")), weights, share, most_epochs)
-    goal = goal.withColumn("_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
-    goal = goal.withColumn("_quota", F.round("target").cast("long") - F.col("_whole") * F.col("source_size"))
-    goal = goal.select(F.col("source").alias("_s"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), "_whole", "_quota")
+    goal = goal.withColumn("__quire_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
+    goal = goal.withColumn("__quire_quota", F.round("target").cast("long") - F.col("__quire_whole") * F.col("source_size"))
+    goal = goal.select(F.col("source").alias("__quire_s"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), "__quire_whole", "__quire_quota")
     # Where each source's quota ends: one row for each source. The window runs over at most BUCKETS rows a source.
-    run = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    run = Window.partitionBy("source").orderBy("__quire_bucket").rowsBetween(Window.unboundedPreceding, -1)
     ends = (
-        by_bucket.withColumn("_before", F.coalesce(F.sum("n").over(run), F.lit(0)))
-        .join(goal, F.col("source").eqNullSafe(F.col("_s")))
-        .where("_before <= _quota and _quota < _before + n")
-        .select(F.col("_s").alias("_e"), F.col("_bucket").alias("_end"), (F.col("_quota") - F.col("_before")).alias("_left"))
+        by_bucket.withColumn("__quire_before", F.coalesce(F.sum("n").over(run), F.lit(0)))
+        .join(goal, F.col("source").eqNullSafe(F.col("__quire_s")))
+        .where("__quire_before <= __quire_quota and __quire_quota < __quire_before + n")
+        .select(F.col("__quire_s").alias("__quire_e"), F.col("__quire_bucket").alias("__quire_end"), (F.col("__quire_quota") - F.col("__quire_before")).alias("__quire_left"))
     )
     # checkpointed: a row for each source, used by both branches below.
-    plan = checkpointed(goal.join(ends, F.col("_s").eqNullSafe(F.col("_e")), "left").select("_s", "mix_source_size", "mix_target", "_whole", "_quota", F.coalesce("_end", F.when(F.col("_quota") > 0, F.lit(buckets)).otherwise(F.lit(-1))).alias("_end"), F.coalesce("_left", F.lit(0)).alias("_left")))
-    keep = [c for c in rows.columns if c not in ("_draw", "_bucket", "_tie")]
+    plan = checkpointed(goal.join(ends, F.col("__quire_s").eqNullSafe(F.col("__quire_e")), "left").select("__quire_s", "mix_source_size", "mix_target", "__quire_whole", "__quire_quota", F.coalesce("__quire_end", F.when(F.col("__quire_quota") > 0, F.lit(buckets)).otherwise(F.lit(-1))).alias("__quire_end"), F.coalesce("__quire_left", F.lit(0)).alias("__quire_left")))
+    keep = [c for c in rows.columns if c not in ("__quire_draw", "__quire_bucket", "__quire_tie")]
     if plan.count() <= MOST_BROADCAST:
         plan = F.broadcast(plan)
-    planned = rows.join(plan, F.col("source").eqNullSafe(F.col("_s")), "inner")
-    base = F.col("_whole") * F.col("mix_size")
-    clear = planned.where("_bucket <> _end").withColumn("mix_taken", base + F.when(F.col("_bucket") < F.col("_end"), F.col("mix_size")).otherwise(F.lit(0)))
-    order = Window.partitionBy("source").orderBy("_draw", "_tie", "mix_size").rowsBetween(Window.unboundedPreceding, -1)
-    last = planned.where("_bucket = _end").withColumn("_before", F.coalesce(F.sum("mix_size").over(order), F.lit(0)))
-    last = last.withColumn("mix_taken", base + F.greatest(F.lit(0), F.least(F.col("mix_size"), F.col("_left") - F.col("_before"))))
+    planned = rows.join(plan, F.col("source").eqNullSafe(F.col("__quire_s")), "inner")
+    base = F.col("__quire_whole") * F.col("mix_size")
+    clear = planned.where("__quire_bucket <> __quire_end").withColumn("mix_taken", base + F.when(F.col("__quire_bucket") < F.col("__quire_end"), F.col("mix_size")).otherwise(F.lit(0)))
+    order = Window.partitionBy("source").orderBy("__quire_draw", "__quire_tie", "mix_size").rowsBetween(Window.unboundedPreceding, -1)
+    last = planned.where("__quire_bucket = __quire_end").withColumn("__quire_before", F.coalesce(F.sum("mix_size").over(order), F.lit(0)))
+    last = last.withColumn("mix_taken", base + F.greatest(F.lit(0), F.least(F.col("mix_size"), F.col("__quire_left") - F.col("__quire_before"))))
     out = [*keep, "mix_source_size", "mix_target", "mix_taken"]
     return clear.select(*out).unionByName(last.select(*out))
 

@@ -209,5 +209,5 @@ def keep_first(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -> Dat
 
     Rows without doc_id stay. Rows that repeat a doc_id stay or go together.
     """
-    away = simhash_groups(docs, words, budget).where("doc_id <> component_id").select(F.col("doc_id").alias("_away")).distinct()
-    return docs.join(away, docs.doc_id == F.col("_away"), "left_anti")
+    away = simhash_groups(docs, words, budget).where("doc_id <> component_id").select(F.col("doc_id").alias("__quire_away")).distinct()
+    return docs.join(away, docs.doc_id == F.col("__quire_away"), "left_anti")
