@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from quire.llm import exact_dedup, mixing, simhash
+from quire.llm import decontaminate, exact_dedup, mixing, simhash, token_store
 
 
 def queries() -> dict:
     return {
+        "op1_decontamination": decontaminate.op1_decontamination,
+        "op3_tokens": token_store.op3_tokens,
         "op5_simhash": simhash.op5_simhash,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,
         "op8_mixing": mixing.op8_mixing,
