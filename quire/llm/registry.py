@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quire.llm import decontaminate, exact_dedup, mixing, simhash, token_store
+from quire.llm import decontaminate, exact_dedup, mixing, simhash, suffix_dedup, token_store
 
 
 def queries() -> dict:
     return {
         "op1_decontamination": decontaminate.op1_decontamination,
         "op3_tokens": token_store.op3_tokens,
+        "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
         "op5_simhash": simhash.op5_simhash,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,
         "op8_mixing": mixing.op8_mixing,
