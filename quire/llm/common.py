@@ -58,6 +58,17 @@ def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable[
     return run
 
 
+def worker_kept(name: str, make: Callable):
+    """What make() gives, made once in a Python worker and kept from task to task."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("__quire_worker__", types.ModuleType("__quire_worker__")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 200_000) -> Iterator[pa.Table]:
     """Tables of whole groups from batches sorted by keys; up to most rows, unless one group is larger."""
     import numpy as np

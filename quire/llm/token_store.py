@@ -17,6 +17,8 @@ commits, retries and readers for any store that Spark reaches, while ids are onl
 
 from __future__ import annotations
 
+import gc
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import stored, table
+from quire.llm.common import stored, table, worker_kept
 
 END_ID = 1
 BLOCK = 1 << 16
@@ -43,8 +45,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: What is surely one pre-token, or one and a run of signs: letters without combining marks, then signs other than the apostrophe.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+)([.,;:!?$%&#*]*)")
+
+
 class Encoder:
-    """Texts to ids (little-endian uint32 bytes). The tokenizer splits at white space, so what stands between is encoded once and remembered."""
+    """Texts to ids (little-endian uint32 bytes).
+
+    The tokenizer splits at white space, and between letters and signs, so every piece is encoded once and
+    remembered. New plain words are encoded many at a time, as one text: each of them is one pre-token and
+    ends with the one id that has the end-of-word suffix, which cuts the ids up again. If the number of
+    ends differs, or for any other kind of piece, pieces are encoded one by one.
+    """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         import os
@@ -52,21 +64,62 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.plain: dict[str, bytes] = {}
         self.remembered = remembered
 
+    def _one_by_one(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._one_by_one(words)
+        raw, cuts = ids.tobytes(), (ends * 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        known, plain = self.known, self.plain
+        cut, other, words = [], [], set()
+        for piece in new:
+            text = piece.decode()
+            m = PLAIN.fullmatch(text)
+            if m:
+                pair = m[1].lower(), m[2]
+                cut.append((piece, *pair))
+                words.update(pair)
+            else:
+                other.append((piece, text))
+        words.discard("")
+        words = [w for w in words if w not in plain]
+        plain[""] = b""
+        for at in range(0, len(words), 2048):
+            part = words[at : at + 2048]
+            plain.update(zip(part, self._plain(part), strict=True))
+        for piece, word, signs in cut:
+            known[piece] = plain[word] + plain[signs]
+        if other:
+            known.update(zip([p for p, _ in other], self._one_by_one([t for _, t in other]), strict=True))
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         words = [(t or "").encode().split() for t in texts]
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
+        seen = set().union(*words)
+        new = seen.difference(known)
         if len(known) + len(new) > self.remembered:
             known.clear()
-            new = list({w for ws in words for w in ws})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.encode([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            new = seen
+        if len(self.plain) > self.remembered:
+            self.plain.clear()
+        if new:
+            self._learn(list(new))
         return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
 
@@ -130,7 +183,8 @@ def write_tokens(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part = Encoder(path), TaskContext.get().partitionId()
+        encode, part = worker_kept(f"encoder {path}", lambda: Encoder(path)), TaskContext.get().partitionId()
+        gc.freeze()
         tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         names = [x.split()[0] for x in CHUNK_SCHEMA.split(", ")]
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
