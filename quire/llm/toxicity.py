@@ -1,16 +1,16 @@
 """Toxicity by compression distance: a window is toxic if a toxic zstandard dictionary makes it shorter than an ordinary one.
 
 Invented or inflected words share syllables with all others, and on plain letters such chance matches
-drown the rest. So text is recoded before it is compressed: a word becomes three codes of CODE
-bytes, hashes of its first four letters, its first six letters and the whole word. Equal words, and words
+drown the rest. So text is recoded before it is compressed: a word becomes codes of CODE bytes, hashes
+of its beginnings of STEMS letters and of the whole word. Equal words, and words
 of one stem, compress against each other; others do not.
 
 Two dictionaries of the same size are trained, one on toxic and one on ordinary text. Each holds the codes
 that are typical of its own class (log-odds of document frequency, SURE standard errors above zero), then
 the most frequent ordinary words, which both share. Windows of whole words, together the whole text, are
 compressed with either; the difference of the lengths is the distance. How the distances of a document's
-windows become a score is calibrated by logistic regression on labelled documents that the dictionaries
-have not seen.
+windows become a score is calibrated by logistic regression on labelled documents, each measured with
+dictionaries that have not seen it.
 
 Only the fit is bounded: at most MOST_TOXIC toxic and MOST_ORDINARY ordinary labelled documents, whole,
 taken in the order of a hash of their ids. Scores are computed for every whole text.
@@ -33,7 +33,8 @@ from quire.llm.common import by_batch, table
 
 #: Words in a window.
 WINDOW = 12
-CODE = 12
+CODE = 10
+STEMS = (4, 5, 7)
 MOST_TOXIC = 2_000
 MOST_ORDINARY = 4_000
 #: Codes of each class, and shared words, in a dictionary.
@@ -41,8 +42,9 @@ TYPICAL = 160
 SHARED = 24
 #: Words whose codes a worker remembers; when full it starts anew.
 REMEMBERED = 300_000
+FOLDS = 4
 #: Standard errors by which the log-odds of a typical word are above zero.
-SURE = 2.5
+SURE = 3.0
 THRESHOLD = 0.3
 HELD_OUT = 2
 #: Saved bytes from which a window counts.
@@ -62,9 +64,9 @@ def normal(text: str | None) -> bytes:
 
 
 def units(word: bytes) -> list[bytes]:
-    """What is coded of a word: its first four and six letters, and itself."""
+    """What is coded of a word: its beginnings, of STEMS letters, and itself."""
     letters = word.decode()
-    return [b"4" + letters[:4].encode(), b"6" + letters[:6].encode(), b"w" + word]
+    return [*(b"%d" % n + letters[:n].encode() for n in STEMS), b"w" + word]
 
 
 def code(unit: bytes) -> bytes:
@@ -171,23 +173,25 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60
 
 
 def fit(rows: list[tuple[str | None, int]], window: int = WINDOW) -> Model:
-    """A model from (text, toxic). Equal texts count once. Without examples of both classes every score is the share of toxic rows."""
+    """A model from (text, toxic). Equal texts count once. With fewer than two of either class every score is about the share of toxic rows."""
     distinct = sorted({(normal(t), int(y)) for t, y in rows})
-    halves = [[b for k, (b, y) in enumerate(x for x in distinct if x[1] == c) if k % 2 == h] for h in (0, 1) for c in (1, 0)]
-    toxic, ordinary = halves[0], halves[1]
-    if not halves[2] or not halves[3]:
-        share = (sum(y for _, y in distinct) + 0.5) / (len(distinct) + 1) if distinct else 0.0
-        z = math.log(share / (1 - share)) if share else -40.0
-        return Model(b" " * 64, b" " * 64, [0.0] * FEATURES + [z], [0.0] * FEATURES, [1.0] * FEATURES, window)
-    a, b = _dictionaries(toxic, ordinary)
-    model = Model(a, b, [], [], [], window)
-    scorer = model.open()
-    x = np.array([scorer.features(scorer.distances(t.decode())) for t in [*halves[2], *halves[3]]])
-    y = np.array([1.0] * len(halves[2]) + [0.0] * len(halves[3]))
+    share = (sum(y for _, y in distinct) + 0.5) / (len(distinct) + 1) if distinct else 1e-9
+    known = Model(b" " * 64, b" " * 64, [0.0] * FEATURES + [math.log(share / (1 - share))], [0.0] * FEATURES, [1.0] * FEATURES, window)
+    by = [[b for b, y in distinct if y == c] for c in (1, 0)]
+    if min(map(len, by)) < 2:
+        return known
+    # Each fold is measured with dictionaries of the other folds; the final ones are of all rows.
+    x, y = [], []
+    for fold in range(FOLDS):
+        rest = [[b for k, b in enumerate(own) if k % FOLDS != fold] for own in by]
+        scorer = Model(*_dictionaries(*rest), [], [], [], window).open()
+        for c, own in zip((1.0, 0.0), by, strict=True):
+            for b in own[fold::FOLDS]:
+                x.append(scorer.features(scorer.distances(b.decode())))
+                y.append(c)
+    x, y = np.array(x), np.array(y)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    w = _logistic((x - mean) / scale, y)
-    model.weights, model.mean, model.scale = w.tolist(), mean.tolist(), scale.tolist()
-    return model
+    return Model(*_dictionaries(*by), _logistic((x - mean) / scale, y).tolist(), mean.tolist(), scale.tolist(), window)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_ordinary: int = MOST_ORDINARY) -> list[tuple[str | None, int]]:
