@@ -35,7 +35,7 @@ def test_run_against_plain_python(spark, small):
     assert len(got) - len(whole) <= want.source.nunique()  # at most one part of a document for each source
     size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in zip(want.doc_id, want.text, strict=True)}
     taken = whole.doc_id.map(size).sum()
-    assert 1.4 * sum(size.values()) < taken <= 1.5 * sum(size.values()) + 1
+    assert 1.3 * sum(size.values()) < taken <= 1.5 * sum(size.values()) + 1
     assert (whole.doc_id.value_counts() <= 2).all()
 
 
