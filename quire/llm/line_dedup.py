@@ -8,8 +8,8 @@
 3. Bands are sorted by value, and each key is paired with the first two keys of its bucket, in an order that is random
    in each band: pairs grow with the rows and never with the square of a bucket. Buckets of up to three keys are
    compared in full by that.
-4. Pairs are verified by the exact Jaccard similarity of their shingle sets (THRESHOLD or more), and verified pairs are
-   joined by distributed union-find.
+4. Pairs are verified by the exact Jaccard similarity of their shingle sets (THRESHOLD or more; shingles are compared as
+   64-bit hashes), and verified pairs are joined by distributed union-find.
 5. Buckets of more keys that are still in several components are searched exactly for links between these: all are
    compared with a pivot, and by the triangle inequality of the Jaccard distance only keys within twice the
    distance of the pivot can link to one that is near it. Buckets of more than CHUNK keys are cut into chunks, and
@@ -33,8 +33,8 @@ from quire.llm.suffix_dedup import _keyed, _zipped
 
 SHINGLE = 8
 THRESHOLD = 0.8
-PASSES = 4
-BINS = 10
+PASSES = 2
+BINS = 20
 ROWS = 4
 BANDS = PASSES * BINS // ROWS
 BITS = 1 << 26
@@ -55,8 +55,8 @@ def hash_of(key: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def signatures(keys: list[str], shingle: int = SHINGLE) -> np.ndarray:
-    """(keys, PASSES * BINS) MinHash values; every key has shingle characters at least."""
+def shingle_hashes(keys: list[str], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of the shingles of all keys, one after another; shingles of each key, repeats included)."""
     size = np.array([len(k) for k in keys], np.int64)
     cp = np.frombuffer("".join(keys).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     h, wide = (cp + np.uint64(1)) * ODD[0], 1
@@ -65,10 +65,33 @@ def signatures(keys: list[str], shingle: int = SHINGLE) -> np.ndarray:
         h = h[:-wide] * ODD[1] + h[wide:]
         h ^= h >> np.uint64(29)
         wide *= 2
-    counts = size - shingle + 1
+    counts = np.maximum(size - shingle + 1, 0)
     first = np.cumsum(size) - size
+    return h[np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())], counts
+
+
+def shingle_sets(keys: list[str], shingle: int = SHINGLE) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each key."""
+    h, counts = shingle_hashes(keys, shingle)
+    ends = np.cumsum(counts)
+    out = []
+    for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        own = np.sort(h[a:b])
+        out.append(own if len(own) < 2 else own[np.concatenate([[True], own[1:] != own[:-1]])])
+    return out
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted sets, neither empty."""
+    at = np.searchsorted(a, b)
+    both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+    return both / (len(a) + len(b) - both)
+
+
+def signatures(keys: list[str], shingle: int = SHINGLE) -> np.ndarray:
+    """(keys, PASSES * BINS) MinHash values; every key has shingle characters at least."""
+    grams, counts = shingle_hashes(keys, shingle)
     which = np.repeat(np.arange(len(keys)), counts)
-    grams = h[np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(len(which))]
     out = np.empty((len(keys), PASSES * BINS), np.uint64)
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
     base = which * BINS
@@ -97,16 +120,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def jaccard(a: set[str], b: set[str]) -> float:
-    both = len(a & b)
-    return both / (len(a) + len(b) - both)
-
-
-def shingles(key: str, shingle: int = SHINGLE) -> set[str]:
-    return {key[i : i + shingle] for i in range(len(key) - shingle + 1)}
-
-
-def links(sets: list[set[str]], threshold: float) -> list[tuple[int, int]]:
+def links(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
     """Links (of threshold or more) that join every component of the sets, without comparing all pairs."""
     root = list(range(len(sets)))
 
@@ -116,26 +130,31 @@ def links(sets: list[set[str]], threshold: float) -> list[tuple[int, int]]:
             i = root[i]
         return i
 
-    out = []
-    left, parts = list(range(len(sets))), len(sets)
+    size = np.array([len(s) for s in sets])
+    out: list[tuple[int, int]] = []
+    left, parts = np.arange(len(sets)), len(sets)
     while len(left) > 1 and parts > 1:
-        p = left[0]
-        likeness = [(jaccard(sets[p], sets[x]), x) for x in left[1:]]
-        near = sorted(((j, x) for j, x in likeness if j >= threshold), reverse=True)
-        for _, x in near:
+        p, left = int(left[0]), left[1:]
+        pivot, values = sets[p], np.concatenate([sets[x] for x in left])
+        at = np.minimum(np.searchsorted(pivot, values), len(pivot) - 1)
+        both = np.add.reduceat((pivot[at] == values).astype(np.int64), np.cumsum(size[left]) - size[left])
+        alike = both / (size[left] + len(pivot) - both)
+        near = left[alike >= threshold]
+        near = near[np.argsort(-alike[alike >= threshold], kind="stable")].tolist()
+        for x in near:
             if find(x) != find(p):
                 root[find(x)] = find(p)
                 parts -= 1
                 out.append((p, x))
-        left = [x for j, x in likeness if j < threshold]
-        for j, x in likeness:
-            if 2 * threshold - 1 <= j < threshold and find(x) != find(p):
-                for _, y in near:
+        for x in left[(alike < threshold) & (alike >= 2 * threshold - 1)].tolist() if near else ():
+            if find(x) != find(p):
+                for y in near:
                     if jaccard(sets[x], sets[y]) >= threshold:
                         root[find(x)] = find(p)
                         parts -= 1
                         out.append((x, y))
                         break
+        left = left[alike < threshold]
     return out
 
 
@@ -229,14 +248,13 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("key").alias("left")), "a").join(texts.select(F.col("h").alias("b"), F.col("key").alias("right")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                near = min(len(x), len(y)) >= threshold * 0.5 * max(len(x), len(y))
-                ok.append(near and jaccard(shingles(x, shingle), shingles(y, shingle)) >= threshold)
-            keep = pa.array(ok, pa.bool_())
-            out = pa.Table.from_batches([b.select(["a", "b"])]).filter(keep)
-            yield from out.to_batches()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2_000):
+                b = whole.slice(at, 2_000)
+                keys = pa.chunked_array([b.column(2), b.column(3)]).combine_chunks().dictionary_encode()
+                sets, code = shingle_sets(keys.dictionary.to_pylist(), shingle), keys.indices.to_numpy()
+                ok = [jaccard(sets[x], sets[y]) >= threshold for x, y in zip(code[: b.num_rows], code[b.num_rows :], strict=True)]
+                yield from pa.Table.from_batches([b.select(["a", "b"])]).filter(pa.array(ok, pa.bool_())).to_batches()
 
     verified = checkpointed(both.select("a", "b", "left", "right").mapInArrow(verify, "a long, b long"))
     roots = checkpointed(components(verified))
@@ -259,7 +277,7 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
             a: list[int] = []
             b: list[int] = []
             for lo, hi in zip([0, *cut], [*cut, t.num_rows], strict=True):
-                for x, y in links([shingles(k, shingle) for k in key[lo:hi]], threshold):
+                for x, y in links(shingle_sets(key[lo:hi], shingle), threshold):
                     a.append(h[lo + x])
                     b.append(h[lo + y])
             if a:
