@@ -46,7 +46,7 @@ def default_tokenizer() -> str:
 
 
 #: What is surely one pre-token, or one and a run of signs: letters without combining marks, then signs other than the apostrophe.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+)([.,;:!?$%&#*]*)")
+PLAIN = re.compile("^([a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017e]+)([.,;:!?$%&#*]*)$|^(.*)$", re.M)
 
 
 class Encoder:
@@ -87,26 +87,20 @@ class Encoder:
 
     def _learn(self, new: list[bytes]) -> None:
         known, plain = self.known, self.plain
-        cut, other, words = [], [], set()
-        for piece in new:
-            text = piece.decode()
-            m = PLAIN.fullmatch(text)
-            if m:
-                pair = m[1].lower(), m[2]
-                cut.append((piece, *pair))
-                words.update(pair)
-            else:
-                other.append((piece, text))
+        # One piece a line, so that one pass of the pattern takes all of them; plain words are lower-cased by that.
+        rows = PLAIN.findall(b"\n".join(new).decode().lower())
+        words = {a for a, _, _ in rows}
+        words.update({b for _, b, _ in rows})
         words.discard("")
-        words = [w for w in words if w not in plain]
+        fresh = list(words.difference(plain))
         plain[""] = b""
-        for at in range(0, len(words), 2048):
-            part = words[at : at + 2048]
+        for at in range(0, len(fresh), 2048):
+            part = fresh[at : at + 2048]
             plain.update(zip(part, self._plain(part), strict=True))
-        for piece, word, signs in cut:
-            known[piece] = plain[word] + plain[signs]
+        known.update(zip(new, [plain[a] + plain[b] for a, b, _ in rows], strict=True))
+        other = [piece for piece, row in zip(new, rows, strict=True) if row[2]]
         if other:
-            known.update(zip([p for p, _ in other], self._one_by_one([t for _, t in other]), strict=True))
+            known.update(zip(other, self._one_by_one([p.decode() for p in other]), strict=True))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         words = [(t or "").encode().split() for t in texts]
