@@ -289,3 +289,17 @@ def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without contaminated documents; all columns stay. Rows without doc_id stay."""
     bad = decontaminate(docs, items).where("contaminated").select(F.col("doc_id").alias("__quire_bad")).distinct()
     return docs.join(bad, docs.doc_id == F.col("__quire_bad"), "left_anti")
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+i AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS phrase FROM (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s FROM b WHERE len(w) > 0)),
+p AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS phrase FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM i) WHERE len(w) >= n)),
+h AS (SELECT doc_id, s, n, item_id FROM p JOIN i USING (n, phrase)),
+k AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS x FROM h) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN m USING (doc_id)
+"""

@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op7_exact_dedup": exact_dedup.OP7_SQL}
+    return {"op1_decontamination": decontaminate.OP1_SQL, "op7_exact_dedup": exact_dedup.OP7_SQL}

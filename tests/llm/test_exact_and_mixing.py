@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import exact_dedup, mixing
 from tests.llm.rows import docs, empty, odd
@@ -60,6 +61,17 @@ def test_mixing_against_brute_force(spark, medium):
     assert len(got) == len(d)
 
 
+def test_targets_equal_their_sql(spark, medium):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{medium}/documents.parquet'")
+    want = {r[1]: r[2:] for r in con.sql(mixing.OP8_SQL).fetchall()}
+    sizes = spark.read.parquet(f"{medium}/documents.parquet").select("source", mixing.n_words(F.col("text")).alias("size"))
+    got = {r.source: (r.source_size, round(r.target, 3)) for r in mixing.targets(sizes).collect()}
+    assert got == {k: (n, round(t, 3)) for k, (n, t) in want.items()}
+
+
 def test_mixing_odd_rows(spark):
     got = mixing.mix(odd(spark), buckets=4)
     rows = got.collect()
