@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -204,10 +204,36 @@ def title_score(query: Column, title: Column, q: Column | None = None, t: Column
     return F.when((F.length(q) == 0) | (F.length(t) == 0), F.lit(0.0)).otherwise(F.round(F.greatest(score, F.lit(0.0)), 2))
 
 
-def ordered_hash(value: Column, *order: str) -> Column:
-    """an aggregate: sha256 of the values, each with a newline, in order."""
-    parts = F.array_sort(F.collect_list(F.struct(*order, F.concat(value, F.lit("\n")).alias("_v"))))
-    return F.sha2(F.array_join(F.transform(parts, lambda x: x["_v"]), ""), 256)
+def ordered_hashes(rows: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
+    """(key, n, digest): sha256 over the values of each key in order, each with a newline.
+
+    A hash over an order is sequential within its key, so a key's rows pass one task, but as a sorted stream: what is
+    held is the hash state, never the group. Null counts as empty.
+    """
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        now, n, state, any_row = None, 0, hashlib.sha256(), False
+        out: list[tuple] = []
+        for b in batches:
+            for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if any_row and k != now:
+                    out.append((now, n, state.hexdigest()))
+                    n, state = 0, hashlib.sha256()
+                now, n, any_row = k, n + 1, True
+                state.update((v or "").encode() + b"\n")
+        if any_row:
+            out.append((now, n, state.hexdigest()))
+        if out:
+            kind = pa.string() if isinstance(out[0][0] or "", str) else pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (kind, pa.int64(), pa.string()), strict=True)], ["key", "n", "digest"])
+
+    kind = rows.schema[key].dataType.simpleString()
+    ordered = rows.select(key, value, *order).repartition(key).sortWithinPartitions(key, *order).select(key, value)
+    return ordered.mapInArrow(run, f"key {kind}, n long, digest string").withColumnRenamed("key", key)
 
 
 def char_differences(left: Column, right: Column) -> Column:

@@ -34,8 +34,7 @@ def bigram_counts(spark, t):
 @query("""SELECT source, count(*)::BIGINT AS n, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS digest FROM documents GROUP BY source""")
 def aggregate_hash(spark, t):
     """one digest over the ordered texts of each source."""
-    hashed = F.expr("sha2(listagg(concat(text, '\\n')) WITHIN GROUP (ORDER BY doc_id), 256)")
-    return t("documents").groupBy("source").agg(F.count("*").alias("n"), hashed.alias("digest"))
+    return X.ordered_hashes(t("documents"), "source", ["doc_id"], "text")
 
 
 @query("""SELECT sha256(coalesce(text, '')) AS key, count(*)::BIGINT AS n FROM documents GROUP BY ALL HAVING count(*) > 1""")

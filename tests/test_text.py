@@ -67,9 +67,12 @@ def test_title_score(spark):
         assert spark.createDataFrame([(q, t)], "q string, t string").select(X.title_score(F.col("q"), F.col("t"))).first()[0] == want, (q, t)
 
 
-def test_ordered_hash(spark):
-    df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string").agg(X.ordered_hash(F.col("v"), "k"))
-    assert df.first()[0] == hashlib.sha256(b"a\nb\n").hexdigest()
+def test_ordered_hashes(spark):
+    df = spark.createDataFrame([(2, "k", "b"), (1, "k", "a"), (3, "z", None), (1, None, "x")], "n int, g string, v string")
+    got = {r.g: (r.n, r.digest) for r in X.ordered_hashes(df, "g", ["n"], "v").collect()}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    assert got == {"k": (2, sha(b"a\nb\n")), "z": (1, sha(b"\n")), None: (1, sha(b"x\n"))}
+    assert X.ordered_hashes(df.limit(0), "g", ["n"], "v").count() == 0
 
 
 def test_issues_and_fragments(spark):
