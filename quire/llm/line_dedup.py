@@ -66,8 +66,12 @@ def shingle_hashes(keys: list[str], shingle: int = SHINGLE) -> tuple[np.ndarray,
         h ^= h >> np.uint64(29)
         wide *= 2
     counts = np.maximum(size - shingle + 1, 0)
-    first = np.cumsum(size) - size
-    return h[np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())], counts
+    # The last places of a key begin no shingle of its own.
+    valid, ends = np.ones(len(h), bool), np.cumsum(size)
+    for back in range(1, shingle):
+        at = ends - back
+        valid[at[(at >= 0) & (at < len(h))]] = False
+    return h[valid], counts
 
 
 def shingle_sets(keys: list[str], shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -92,20 +96,21 @@ def signatures(keys: list[str], shingle: int = SHINGLE) -> np.ndarray:
     """(keys, PASSES * BINS) MinHash values; every key has shingle characters at least."""
     grams, counts = shingle_hashes(keys, shingle)
     which = np.repeat(np.arange(len(keys)), counts)
-    out = np.empty((len(keys), PASSES * BINS), np.uint64)
-    top = np.uint64(0xFFFFFFFFFFFFFFFF)
+    out = np.empty((len(keys), PASSES * BINS), np.uint32)
+    top = np.uint32(0xFFFFFFFF)
     base = which * BINS
     for p in range(PASSES):
         x = (grams ^ (grams >> np.uint64(31))) * ODD[2 + p]
         x ^= x >> np.uint64(32)
-        least = np.full(len(keys) * BINS, top, np.uint64)
-        np.minimum.at(least, base + ((x & np.uint64(0xFFFFFFFF)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64), x)
+        least = np.full(len(keys) * BINS, top)
+        bin_ = ((x & np.uint64(0xFFFFFFFF)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+        np.minimum.at(least, base + bin_, (x >> np.uint64(32)).astype(np.uint32))
         least = least.reshape(-1, BINS)
         for _ in range(BINS - 1):
             empty = least == top
             if not empty.any():
                 break
-            least = np.where(empty, np.where(np.roll(empty, -1, axis=1), top, np.roll(least, -1, axis=1) * ODD[3] | np.uint64(1)), least)
+            least = np.where(empty, np.where(np.roll(empty, -1, axis=1), top, np.roll(least, -1, axis=1) * np.uint32(ODD[3] & np.uint64(0xFFFFFFFF)) & np.uint32(0xFFFFFFFE)), least)
         out[:, p * BINS : (p + 1) * BINS] = least
     return out
 
@@ -290,16 +295,13 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
 def line_verdicts(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """(id0, row, gone array<int>): the numbers of the lines that go, for the documents that lose some."""
     occurrences, roots = line_components(docs, threshold, shingle, bits)
-    by_key = occurrences.groupBy("h").agg(F.min(F.struct("id0", "n", "row")).alias("first"), F.count("*").alias("many"))
-    joined = by_key.join(roots, by_key.h == roots.node, "left").select("h", F.coalesce("root", "h").alias("root"), "first", "many")
-    kept = joined.groupBy("root").agg(F.min("first").alias("first"), F.sum("many").alias("many")).where("many > 1").drop("many")
-    away = joined.select("h", "root").join(kept, "root").select("h", "first")
-    return (
-        occurrences.join(away, "h")
-        .where("not (id0 = first.id0 and n = first.n and row = first.row)")
-        .groupBy("id0", "row")
-        .agg(F.sort_array(F.collect_set("n")).alias("gone"))
-    )
+    # Most lines are alone: only those with an equal or linked one take part in what follows.
+    again = occurrences.groupBy("h").agg(F.count("*").alias("many")).where("many > 1").select("h")
+    roots = checkpointed(roots)
+    comp = again.join(roots, again.h == roots.node, "left_anti").select("h", F.col("h").alias("root")).unionByName(roots.select(F.col("node").alias("h"), "root"))
+    shared = checkpointed(occurrences.join(comp, "h").select("root", "id0", "row", "n"))
+    first = shared.groupBy("root").agg(F.min(F.struct("id0", "n", "row")).alias("first"))
+    return shared.join(first, "root").where("not (id0 = first.id0 and n = first.n and row = first.row)").groupBy("id0", "row").agg(F.sort_array(F.collect_set("n")).alias("gone"))
 
 
 def line_dedup(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, bits: int = BITS, with_text: bool = True) -> DataFrame:
