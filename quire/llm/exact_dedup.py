@@ -56,6 +56,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: Column | None = N
         .agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
         .where("group_size > 1")
     )
+    # Cut off from the aggregate's partitioning, so that the join below has exchanges of its own and a hot group is split.
+    groups = checkpointed(groups)
     return full.join(groups, ["_len", "text_sha256"], "left").select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),

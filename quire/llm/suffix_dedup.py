@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import stored, table, whole_groups
+from quire.llm.common import checkpointed, stored, table, whole_groups
 
 LENGTH = 400
 GRAM = 128
@@ -200,7 +200,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
                     held, size, first = [], 0, k + 1
 
     found = stored(keyed.select("id0", "row", "text").mapInArrow(find, "id0 long, row long, h long, at int, lo int, hi int"), "anchors")
-    again = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Checkpointed, so that the join has exchanges of its own and can split the rows of a hot anchor.
+    again = checkpointed(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     of_doc = found.join(again, "h", "left_semi").groupBy("id0", "row").agg(F.collect_set(F.struct("at", "lo", "hi", "h")).alias("anchors"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
