@@ -33,8 +33,9 @@ END_ID = 1
 BLOCK = 1 << 16
 CHUNK_IDS = 1 << 18
 LEVEL = 3
-#: Words whose ids a worker remembers; when full it starts anew.
-REMEMBERED = 400_000
+#: Pieces whose ids a worker remembers in either of two generations; when the younger is full it becomes the older one,
+#: and what is met again moves back to the younger.
+REMEMBERED = 350_000
 
 CHUNK_SCHEMA = "part int, chunk int, first long, n_ids long, block int, kind string, doc_ids array<long>, lens array<long>, index binary, payload binary"
 
@@ -72,6 +73,7 @@ class Encoder:
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
         self.plain: dict[str, bytes] = {}
+        self.old: tuple[dict, dict] = {}, {}
         self.remembered = remembered
 
     def _one_by_one(self, pieces: list[str]) -> list[bytes]:
@@ -92,7 +94,7 @@ class Encoder:
         words = {a for a, _, _ in rows}
         words.update({b for _, b, _ in rows})
         words.discard("")
-        fresh = list(words.difference(plain))
+        fresh = list(self._recalled(words.difference(plain), plain, self.old[1]))
         plain[""] = b""
         for at in range(0, len(fresh), 2048):
             part = fresh[at : at + 2048]
@@ -102,16 +104,19 @@ class Encoder:
         if other:
             known.update(zip(other, self._one_by_one([p.decode() for p in other]), strict=True))
 
+    @staticmethod
+    def _recalled(wanted: set, young: dict, old: dict) -> set:
+        """What of wanted is in neither generation; the rest is in the younger one after this."""
+        back = old.keys() & wanted
+        young.update(zip(back, map(old.__getitem__, back), strict=True))
+        return wanted - back
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         words = [(t or "").encode().split() for t in texts]
+        if len(self.known) > self.remembered or len(self.plain) > self.remembered:
+            self.old, self.known, self.plain = (self.known, self.plain), {}, {}
         known = self.known
-        seen = set().union(*words)
-        new = seen.difference(known)
-        if len(known) + len(new) > self.remembered:
-            known.clear()
-            new = seen
-        if len(self.plain) > self.remembered:
-            self.plain.clear()
+        new = self._recalled(set().union(*words).difference(known), known, self.old[0])
         if new:
             self._learn(list(new))
         return [b"".join(map(known.__getitem__, ws)) for ws in words]
