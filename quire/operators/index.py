@@ -97,6 +97,45 @@ def bm25(hits: DataFrame, totals_: DataFrame, wanted: DataFrame, k1: float = K1,
     return satisfied.groupBy("query", "id").agg((-F.sum("part")).alias("rank"))
 
 
+def scan_bm25(sets: DataFrame, terms: list[tuple[int, str]], broad: bool = False, k1: float = K1, b: float = B, title_weight: float = TITLE_WEIGHT, body_weight: float = BODY_WEIGHT) -> DataFrame:
+    """bm25() without an index, for (query, normalized term) pairs: two scans and no shuffle.
+
+    The first scan aggregates one row (documents, mean length, frequency of each wanted gram), which is broadcast; the second
+    scores each document by itself.
+    """
+    own = {(q, k): list(dict.fromkeys(t[i : i + 2] for i in range(max(1, len(t) - 1)))) for k, (q, t) in enumerate(terms) if t}
+    wanted = list(dict.fromkeys(g for grams in own.values() for g in grams))
+    if not wanted:
+        return sets.limit(0).select(F.lit(0).alias("query"), "id", F.lit(0.0).alias("rank"))
+    array = F.array(*map(F.lit, wanted))
+    found = sets.select("id", (F.size("title_grams") + F.size("body_grams")).alias("tokens"), F.array_intersect("title_grams", array).alias("t"), F.array_intersect("body_grams", array).alias("b"))
+    in_t, in_b = (lambda g: F.array_contains("t", g)), (lambda g: F.array_contains("b", g))
+    counts = [F.count_if(in_t(g) | in_b(g)).alias(f"df{k}") for k, g in enumerate(wanted)]
+    stats = found.agg(F.count("*").alias("n_docs"), F.avg("tokens").alias("avg_tokens"), *counts)
+    rows = found.where(F.size("t") + F.size("b") > 0).crossJoin(F.broadcast(stats))  # one row
+
+    def part(g: str):
+        df = F.col(f"df{wanted.index(g)}")
+        idf = F.log((F.col("n_docs") - df + 0.5) / (df + 0.5))
+        tf = in_t(g).cast("int") * title_weight + in_b(g).cast("int") * body_weight
+        return F.when(idf <= 0, F.lit(1e-6)).otherwise(idf) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("tokens") / F.col("avg_tokens")))
+
+    rows = rows.select("id", F.array(*[F.when(in_t(g) | in_b(g), part(g)) for g in wanted]).alias("parts"))
+    ranks = []
+    for q in dict.fromkeys(q for q, _ in own):
+        total = None
+        for (other, _), grams in own.items():
+            if other == q:
+                parts = [F.get("parts", F.lit(wanted.index(g))) for g in grams]
+                if broad:
+                    one = F.when(F.coalesce(*parts).isNotNull(), sum((F.coalesce(x, F.lit(0.0)) for x in parts[1:]), F.coalesce(parts[0], F.lit(0.0))))
+                else:
+                    one = sum(parts[1:], parts[0])  # null unless every gram is there
+                total = [*(total or []), one]
+        ranks.append(F.struct(F.lit(q).alias("query"), F.when(F.coalesce(*total).isNotNull(), -sum((F.coalesce(x, F.lit(0.0)) for x in total[1:]), F.coalesce(total[0], F.lit(0.0)))).alias("rank")))
+    return rows.select("id", F.explode(F.array(*ranks)).alias("r")).select("r.query", "id", "r.rank").where("rank is not null")
+
+
 def top(ranked: DataFrame, k: int) -> DataFrame:
     """The k best of one query, ties by id."""
     return ranked.orderBy("rank", "id").limit(k)

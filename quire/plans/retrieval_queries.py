@@ -23,9 +23,7 @@ def _grams(term: str) -> list[str]:
 
 
 def _ranked(spark, t, broad: bool):
-    sets = _sets(t)
-    wanted = index.groups(spark, [(0, x) for x in TERMS], broad)
-    return index.bm25(index.scan(sets, sorted({g for x in TERMS for g in _grams(x)})), index.totals(sets), wanted)
+    return index.scan_bm25(_sets(t), [(0, x) for x in TERMS], broad)
 
 
 def _bm25_sql(broad: bool, k: int | None) -> str:
@@ -182,9 +180,7 @@ def budget_fit(spark, t):
 
 def _pool(spark, t):
     """Candidates of one query for each term, with their scores."""
-    sets = _sets(t)
-    wanted = index.groups(spark, list(enumerate(TERMS)))
-    ranked = index.bm25(index.scan(sets, sorted({g for x in TERMS for g in _grams(x)})), index.totals(sets), wanted)
+    ranked = index.scan_bm25(_sets(t), list(enumerate(TERMS)))
     top = rank.capped(ranked, ["query"], [F.col("rank"), F.col("id")], 240).drop("place")
     rows = top.join(t("documents").withColumnRenamed("doc_id", "id"), "id").select(
         "query", F.col("id"), F.col("source").alias("work_id"), F.col("id").alias("sequence"), F.when(F.col("lang") == "en", "core").otherwise("commentary").alias("layer"), F.concat_ws(" ", "lang", "source").alias("place"), "text", "rank"

@@ -45,6 +45,8 @@ def test_bm25_counts_satisfied_groups_only(spark, broad, terms):
     hits = index.scan(s, sorted({t[i : i + 2] for t in terms for i in range(len(t) - 1)}))
     got = {r.id: r["rank"] for r in index.bm25(hits, index.totals(s), wanted).collect()}
     want = slow_bm25(terms, broad)
+    scanned = {r.id: r["rank"] for r in index.scan_bm25(s, [(0, t) for t in terms], broad).collect()}
+    assert set(scanned) == set(want) and all(abs(scanned[d] - want[d]) < 1e-9 for d in want)
     assert set(got) == set(want) and all(abs(got[d] - want[d]) < 1e-9 for d in want)
 
 
