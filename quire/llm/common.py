@@ -47,6 +47,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def partitions_for(df: DataFrame, each: int = 64 << 20) -> int:
+    """spark.sql.shuffle.partitions, or more if the optimizer's estimate of df comes to over each bytes a partition."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(least, -(-size // each)) if size < 1 << 60 else least  # beyond that, the size isn't known
+
+
 def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function that applies fn to each batch that has rows."""
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import stored, table, worker_kept
+from quire.llm.common import partitions_for, stored, table, worker_kept
 
 END_ID = 1
 BLOCK = 1 << 16
@@ -176,7 +176,7 @@ def write_tokens(
     stand beside each other. An empty table gives no chunks. Other columns are not read.
     """
     path = tokenizer or default_tokenizer()
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or partitions_for(docs.select("doc_id", "text"))
     ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

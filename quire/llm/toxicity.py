@@ -22,9 +22,11 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,8 +84,8 @@ class Model:
     scale: list[float]
     window: int = WINDOW
 
-    def open(self) -> Scorer:
-        return Scorer(self)
+    def open(self, codes: Codes | None = None) -> Scorer:
+        return Scorer(self, codes)
 
 
 class Codes(dict):
@@ -95,11 +97,11 @@ class Codes(dict):
 
 
 class Scorer:
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, codes: Codes | None = None):
         import zstandard as z
 
         self.model = model
-        self.codes = Codes()
+        self.codes = Codes() if codes is None else codes
         self.by = []
         for content in (model.toxic, model.ordinary):
             params = z.ZstdCompressionParameters(window_log=13, hash_log=9, chain_log=9, search_log=1, min_match=6, strategy=z.STRATEGY_DFAST, write_checksum=False, write_content_size=False, write_dict_id=False)
@@ -131,12 +133,16 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def _dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
-    seen = [Counter(), Counter()]
-    for count, bodies in zip(seen, (toxic, ordinary), strict=True):
-        for b in bodies:
-            count.update({u for w in set(b.split()) for u in units(w)})
-    sizes = len(toxic) + 1, len(ordinary) + 1
+def _frequencies(bodies: list[bytes]) -> Counter:
+    """In how many of the texts each code's unit is."""
+    count: Counter = Counter()
+    for b in bodies:
+        count.update({u for w in set(b.split()) for u in units(w)})
+    return count
+
+
+def _dictionaries(seen: list[Counter], sizes: tuple[int, int]) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary from document frequencies in either class, and how many texts either has."""
 
     def typical(own: int) -> list[bytes]:
         odds = {}
@@ -181,17 +187,20 @@ def fit(rows: list[tuple[str | None, int]], window: int = WINDOW) -> Model:
     if min(map(len, by)) < 2:
         return known
     # Each fold is measured with dictionaries of the other folds; the final ones are of all rows.
-    x, y = [], []
+    x, y, codes = [], [], Codes()
+    parts = [[_frequencies(own[fold::FOLDS]) for fold in range(FOLDS)] for own in by]
+    total = [sum(own, Counter()) for own in parts]
     for fold in range(FOLDS):
-        rest = [[b for k, b in enumerate(own) if k % FOLDS != fold] for own in by]
-        scorer = Model(*_dictionaries(*rest), [], [], [], window).open()
+        rest = [t - own[fold] for t, own in zip(total, parts, strict=True)]
+        sizes = tuple(len(own) - len(own[fold::FOLDS]) + 1 for own in by)
+        scorer = Model(*_dictionaries(rest, sizes), [], [], [], window).open(codes)
         for c, own in zip((1.0, 0.0), by, strict=True):
             for b in own[fold::FOLDS]:
                 x.append(scorer.features(scorer.distances(b.decode())))
                 y.append(c)
     x, y = np.array(x), np.array(y)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    return Model(*_dictionaries(*by), _logistic((x - mean) / scale, y).tolist(), mean.tolist(), scale.tolist(), window)
+    return Model(*_dictionaries(total, (len(by[0]) + 1, len(by[1]) + 1)), _logistic((x - mean) / scale, y).tolist(), mean.tolist(), scale.tolist(), window)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_ordinary: int = MOST_ORDINARY) -> list[tuple[str | None, int]]:
@@ -244,8 +253,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     model = fit(training_rows(docs, labels))
 
     @F.pandas_udf("double")
-    def score(texts):
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = model.open()
-        return texts.map(lambda t: scorer.score(t))
+        for texts in batches:
+            yield texts.map(scorer.score)
 
     return docs.where(score(F.col("text").cast("string")) < threshold)
