@@ -50,7 +50,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def partitions_for(df: DataFrame, each: int = 64 << 20) -> int:
     """spark.sql.shuffle.partitions, or more if the optimizer's estimate of df comes to over each bytes a partition."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(least, -(-size // each)) if size < 1 << 60 else least  # beyond that, the size isn't known
 
 
