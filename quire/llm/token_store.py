@@ -35,7 +35,7 @@ CHUNK_IDS = 1 << 18
 LEVEL = 3
 #: Pieces whose ids a worker remembers in either of two generations; when the younger is full it becomes the older one,
 #: and what is met again moves back to the younger.
-REMEMBERED = 350_000
+REMEMBERED = 280_000
 
 CHUNK_SCHEMA = "part int, chunk int, first long, n_ids long, block int, kind string, doc_ids array<long>, lens array<long>, index binary, payload binary"
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,12 +39,12 @@ WINDOW = 12
 CODE = 10
 STEMS = (4, 5, 7)
 MOST_TOXIC = 2_000
-MOST_ORDINARY = 4_000
+MOST_ORDINARY = 3_000
 #: Codes of each class, and shared words, in a dictionary.
 TYPICAL = 160
 SHARED = 24
 #: Words whose codes a worker remembers; when full it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 FOLDS = 4
 #: Standard errors by which the log-odds of a typical word are above zero.
 SURE = 3.0
@@ -133,11 +134,26 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def _frequencies(bodies: list[bytes]) -> Counter:
-    """In how many of the texts each code's unit is."""
+def _units_of(body: bytes) -> set[bytes]:
+    return {u for w in set(body.split()) for u in units(w)}
+
+
+def _often(bodies: list[bytes]) -> np.ndarray:
+    """By crc32: whether a unit is in two texts at least. Rarer ones are typical of nothing and need no counter."""
+    once, twice = np.zeros(1 << 23, bool), np.zeros(1 << 23, bool)
+    for b in bodies:
+        at = np.unique(np.fromiter(map(zlib.crc32, _units_of(b)), np.int64)) & (len(once) - 1)
+        twice[at] |= once[at]
+        once[at] = True
+    return twice
+
+
+def _frequencies(bodies: list[bytes], often: np.ndarray) -> Counter:
+    """In how many of the texts each code's unit is, for units that often holds."""
     count: Counter = Counter()
+    last, crc = len(often) - 1, zlib.crc32
     for b in bodies:
-        count.update({u for w in set(b.split()) for u in units(w)})
+        count.update([u for u in _units_of(b) if often[crc(u) & last]])
     return count
 
 
@@ -188,7 +204,8 @@ def fit(rows: list[tuple[str | None, int]], window: int = WINDOW) -> Model:
         return known
     # Each fold is measured with dictionaries of the other folds; the final ones are of all rows.
     x, y, codes = [], [], Codes()
-    parts = [[_frequencies(own[fold::FOLDS]) for fold in range(FOLDS)] for own in by]
+    often = _often([b for own in by for b in own])
+    parts = [[_frequencies(own[fold::FOLDS], often) for fold in range(FOLDS)] for own in by]
     total = [sum(own, Counter()) for own in parts]
     for fold in range(FOLDS):
         rest = [t - own[fold] for t, own in zip(total, parts, strict=True)]
