@@ -29,6 +29,14 @@ def replaced(text: Column, pairs: tuple) -> Column:
     return reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), pairs, text)
 
 
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """rows with columns that are computed once, however often they are used.
+
+    They stand behind a generator of one element, through which the optimizer doesn't copy expressions into their uses.
+    """
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def normalize_query(text: Column, keep: str = CJK_KEEP) -> Column:
     """simplify characters, lower case, phrase overrides, drop the rest."""
     return F.regexp_replace(replaced(F.lower(F.translate(text, QUERY_FROM, QUERY_TO)), QUERY_OVERRIDES), keep, "")
@@ -259,9 +267,9 @@ def issue_counts(text: Column, patterns: dict | None = None) -> Column:
     return F.map_filter(found, lambda _, n: n > 0)
 
 
-def fragment_reason(text: Column, keep: str = CJK_KEEP) -> Column:
-    """K2: why a text is no passage of its own, or null. Its reachable branches only."""
-    clean = normalize_query(text, keep)
+def fragment_reason(text: Column, keep: str | None = CJK_KEEP) -> Column:
+    """K2: why a text is no passage of its own, or null. Its reachable branches only. keep None: text is normalized already."""
+    clean = text if keep is None else normalize_query(text, keep)
     return (
         F.when(F.length(clean) < 8, "too-short")
         .when(clean.rlike("^[零〇一二三四五六七八九十百千万半两升合钱分厘枚个味斤]+$"), "quantity-only")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.text import LETTER_KEEP, bigram_set, normalize_query
+from quire.functions.text import LETTER_KEEP, bigram_set, normalize_query, once
 
 K1 = 1.2
 B = 0.75
@@ -20,8 +20,9 @@ BODY_WEIGHT = 1.0
 
 def gram_sets(docs: DataFrame, title: Column, body: Column, keep: str = LETTER_KEEP) -> DataFrame:
     """(id, title_grams, body_grams); id is the first column of docs. Texts are normalized; null counts as empty."""
-    norm = lambda c: bigram_set(normalize_query(F.coalesce(c, F.lit("")), keep))
-    return docs.select(F.col(docs.columns[0]).alias("id"), norm(title).alias("title_grams"), norm(body).alias("body_grams"))
+    norm = lambda c: normalize_query(F.coalesce(c, F.lit("")), keep)
+    rows = once(docs.select(F.col(docs.columns[0]).alias("id"), title.alias("_title"), body.alias("_body")), _t=norm(F.col("_title")), _b=norm(F.col("_body")))
+    return once(rows.select("id", "_t", "_b"), title_grams=bigram_set(F.col("_t")), body_grams=bigram_set(F.col("_b"))).drop("_t", "_b")
 
 
 def exploded(sets: DataFrame) -> DataFrame:
@@ -108,7 +109,7 @@ def scan_bm25(sets: DataFrame, terms: list[tuple[int, str]], broad: bool = False
     if not wanted:
         return sets.limit(0).select(F.lit(0).alias("query"), "id", F.lit(0.0).alias("rank"))
     array = F.array(*map(F.lit, wanted))
-    found = sets.select("id", (F.size("title_grams") + F.size("body_grams")).alias("tokens"), F.array_intersect("title_grams", array).alias("t"), F.array_intersect("body_grams", array).alias("b"))
+    found = once(sets, tokens=F.size("title_grams") + F.size("body_grams"), t=F.array_intersect("title_grams", array), b=F.array_intersect("body_grams", array)).select("id", "tokens", "t", "b")
     in_t, in_b = (lambda g: F.array_contains("t", g)), (lambda g: F.array_contains("b", g))
     counts = [F.count_if(in_t(g) | in_b(g)).alias(f"df{k}") for k, g in enumerate(wanted)]
     stats = found.agg(F.count("*").alias("n_docs"), F.avg("tokens").alias("avg_tokens"), *counts)
@@ -120,7 +121,7 @@ def scan_bm25(sets: DataFrame, terms: list[tuple[int, str]], broad: bool = False
         tf = in_t(g).cast("int") * title_weight + in_b(g).cast("int") * body_weight
         return F.when(idf <= 0, F.lit(1e-6)).otherwise(idf) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("tokens") / F.col("avg_tokens")))
 
-    rows = rows.select("id", F.array(*[F.when(in_t(g) | in_b(g), part(g)) for g in wanted]).alias("parts"))
+    rows = once(rows, parts=F.array(*[F.when(in_t(g) | in_b(g), part(g)) for g in wanted])).select("id", "parts")
     ranks = []
     for q in dict.fromkeys(q for q, _ in own):
         total = None

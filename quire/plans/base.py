@@ -10,8 +10,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Tables of texts, whose rows cost much; below so many bytes they may be one row group, which is one task.
+TEXTS = ("documents", "pages")
+SMALL = 64 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in TEXTS and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SMALL:
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def query(sql: str | None = None):

@@ -14,21 +14,23 @@ LETTERS = X.LETTER_KEEP
 @query(f"SELECT doc_id, length(n)::BIGINT AS n, md5(n) AS digest FROM (SELECT doc_id, {NORM('text')} AS n FROM documents)")
 def normalize_text(spark, t):
     """F5 over whole documents."""
-    n = X.normalize_query(F.col("text"), LETTERS)
-    return t("documents").select("doc_id", F.length(n).cast("long").alias("n"), F.md5(n).alias("digest"))
+    rows, n = X.once(t("documents").select("doc_id", "text"), n=X.normalize_query(F.col("text"), LETTERS)), F.col("n")
+    return rows.select("doc_id", F.length(n).cast("long").alias("n"), F.md5(n).alias("digest"))
 
 
 @query(f"""SELECT gram, count(*)::BIGINT AS df FROM (SELECT unnest({gram_set_sql('n')}) AS gram FROM (SELECT {NORM('text')} AS n FROM documents)) GROUP BY gram""")
 def bigram_df(spark, t):
     """H5: document frequencies of bigrams."""
-    grams = t("documents").select(F.explode(X.bigram_set(X.normalize_query(F.col("text"), LETTERS))).alias("gram"))
+    rows = X.once(t("documents").select("text"), n=X.normalize_query(F.col("text"), LETTERS))
+    grams = rows.select(F.explode(X.bigram_set(F.col("n"))).alias("gram"))
     return grams.groupBy("gram").agg(F.count("*").alias("df"))
 
 
 @query(f"""SELECT gram, count(*)::BIGINT AS n FROM (SELECT unnest({grams_sql('n')}) AS gram FROM (SELECT {NORM('text')} AS n FROM documents)) GROUP BY gram""")
 def bigram_counts(spark, t):
     """Bigrams with repeats."""
-    return t("documents").select(F.explode(X.bigrams(X.normalize_query(F.col("text"), LETTERS))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    rows = X.once(t("documents").select("text"), n=X.normalize_query(F.col("text"), LETTERS))
+    return rows.select(F.explode(X.bigrams(F.col("n"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT source, count(*)::BIGINT AS n, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS digest FROM documents GROUP BY source""")
