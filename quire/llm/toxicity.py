@@ -13,7 +13,9 @@ windows become a score is calibrated by logistic regression on labelled document
 dictionaries that have not seen it.
 
 Only the fit is bounded: at most MOST_TOXIC toxic and MOST_ORDINARY ordinary labelled documents, whole,
-taken in the order of a hash of their ids. Scores are computed for every whole text.
+taken in the order of a hash of their ids. In the calibration each stands for as many labelled documents of its
+class as there are for each one taken, so a score is a share of the corpus whatever its size. Scores are
+computed for every whole text.
 """
 
 from __future__ import annotations
@@ -181,29 +183,37 @@ def _dictionaries(seen: list[Counter], sizes: tuple[int, int]) -> tuple[bytes, b
     return out[0], out[1]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
+    """Coefficients, the intercept last; weight: how many documents each row stands for, 1 on average."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + ridge * len(x) / 100 * np.eye(len(w))
-        step = np.linalg.solve(hess, x.T @ (p - y) + ridge * len(x) / 100 * w)
+        hess = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge * len(x) / 100 * np.eye(len(w))
+        step = np.linalg.solve(hess, x.T @ (weight * (p - y)) + ridge * len(x) / 100 * w)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def fit(rows: list[tuple[str | None, int]], window: int = WINDOW) -> Model:
-    """A model from (text, toxic). Equal texts count once. With fewer than two of either class every score is about the share of toxic rows."""
-    distinct = sorted({(normal(t), int(y)) for t, y in rows})
-    share = (sum(y for _, y in distinct) + 0.5) / (len(distinct) + 1) if distinct else 1e-9
+def fit(rows: list[tuple], window: int = WINDOW) -> Model:
+    """A model from (text, toxic), or (text, toxic, documents that the row stands for).
+
+    Equal texts are one text to the dictionaries; in the calibration it stands for the documents of all its rows.
+    With fewer than two texts of either class every score is about the share of toxic documents.
+    """
+    stands: Counter = Counter()
+    for t, y, *n in rows:
+        stands[normal(t), int(y)] += n[0] if n else 1
+    distinct = sorted(stands)
+    share = (sum(n for (_, y), n in stands.items() if y) + 0.5) / (sum(stands.values()) + 1) if distinct else 1e-9
     known = Model(b" " * 64, b" " * 64, [0.0] * FEATURES + [math.log(share / (1 - share))], [0.0] * FEATURES, [1.0] * FEATURES, window)
     by = [[b for b, y in distinct if y == c] for c in (1, 0)]
     if min(map(len, by)) < 2:
         return known
     # Each fold is measured with dictionaries of the other folds; the final ones are of all rows.
-    x, y, codes = [], [], Codes()
+    x, y, weight, codes = [], [], [], Codes()
     often = _often([b for own in by for b in own])
     parts = [[_frequencies(own[fold::FOLDS], often) for fold in range(FOLDS)] for own in by]
     total = [sum(own, Counter()) for own in parts]
@@ -215,21 +225,29 @@ def fit(rows: list[tuple[str | None, int]], window: int = WINDOW) -> Model:
             for b in own[fold::FOLDS]:
                 x.append(scorer.features(scorer.distances(b.decode())))
                 y.append(c)
-    x, y = np.array(x), np.array(y)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    return Model(*_dictionaries(total, (len(by[0]) + 1, len(by[1]) + 1)), _logistic((x - mean) / scale, y).tolist(), mean.tolist(), scale.tolist(), window)
+                weight.append(stands[b, int(c)])
+    x, y, weight = np.array(x), np.array(y), np.array(weight, float) / np.mean(weight)
+    mean = np.average(x, axis=0, weights=weight)
+    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=weight)) + 1e-6
+    return Model(*_dictionaries(total, (len(by[0]) + 1, len(by[1]) + 1)), _logistic((x - mean) / scale, y, weight).tolist(), mean.tolist(), scale.tolist(), window)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_ordinary: int = MOST_ORDINARY) -> list[tuple[str | None, int]]:
-    """Up to so many labelled rows of either class, none of them held out, in the order of a hash of their ids."""
+def training_rows(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_ordinary: int = MOST_ORDINARY) -> list[tuple[str | None, int, float]]:
+    """(text, toxic, stands for): up to so many labelled rows of either class, none of them held out, in the order of a hash of their ids.
+
+    Each stands for as many labelled ids of its class, not held out, as there are for each one taken.
+    """
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(9))
     chosen = known.where("toxic = 1").orderBy(order, "doc_id").limit(most_toxic).unionByName(known.where("toxic <> 1").orderBy(order, "doc_id").limit(most_ordinary))
-    ids = chosen.collect()  # at most most_toxic + most_ordinary pairs of numbers
-    of = docs.sparkSession.createDataFrame([(r.doc_id, int(r.toxic == 1)) for r in ids], "__quire_id long, __quire_toxic int")
+    ids = [(r.doc_id, int(r.toxic == 1)) for r in chosen.collect()]  # at most most_toxic + most_ordinary pairs of numbers
+    taken = Counter(y for _, y in ids)
+    every = known.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).first()
+    stands = {1: every[0] / max(taken[1], 1), 0: every[1] / max(taken[0], 1)}
+    of = docs.sparkSession.createDataFrame(ids, "__quire_id long, __quire_toxic int")
     texts = docs.select("doc_id", "text").join(F.broadcast(of), F.col("doc_id") == F.col("__quire_id"))
-    return [(r[0], r[1]) for r in texts.select("text", "__quire_toxic").collect()]
+    return [(r[0], r[1], stands[r[1]]) for r in texts.select("text", "__quire_toxic").collect()]
 
 
 def scored(docs: DataFrame, model: Model, name: str = "__quire_score") -> DataFrame:

@@ -58,6 +58,16 @@ def test_toxicity_learns_and_filters(spark):
     assert model.open().score(long) > 0.3 > model.open().score(" ".join(words * 500))
 
 
+@pytest.mark.parametrize("most", [60, 10_000])
+def test_toxicity_scores_are_of_the_corpus_rate_at_every_size(spark, most):
+    # Labels that no text explains: the score can only be the share of toxic rows, here a tenth.
+    rng = np.random.default_rng(4)
+    rows = [row(i, " ".join(rng.choice([f"w{k}" for k in range(80)], 30))) for i in range(1600)]
+    frame, known = spark.createDataFrame(rows, SCHEMA), labels(spark, [(i, 0, int(i % 10 == 0)) for i in range(1600)])
+    got = toxicity.toxicity(frame, known, most_toxic=most, most_ordinary=most).where("held_out").toPandas()
+    assert 0.05 < got.score.mean() < 0.15 and got.predicted.mean() < 0.1
+
+
 def slow_forward_backward(scores, transitions, start):
     """By enumeration of all label sequences of one chain."""
     import itertools
