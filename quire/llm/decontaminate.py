@@ -8,7 +8,7 @@ and intersecting them with the shifted postings of the other terms, rarest first
 postings, so nothing is shuffled, and a term that is in every document costs a shard only its own postings.
 
 Test items are broadcast in blocks of at most BLOCK_BYTES of text; a larger benchmark is searched block by
-block and the spans of a document are merged afterwards.
+block and the spans of a row are merged afterwards, told apart by the number of its shard and its place in it.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def build_index(docs: DataFrame, vocabulary: set[str] | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """The stored index of docs (doc_id, text): one row for each shard.
+    """The stored index of docs (doc_id, text): one row for each shard, with a number of its own.
 
     vocabulary: the terms to keep postings of (all if None); it is shipped with the task, so bound it.
     positions: little-endian int32, first differences within each term's run. Null text has no words;
@@ -84,7 +84,8 @@ def build_index(docs: DataFrame, vocabulary: set[str] | None = None, shard_bytes
         if ids:
             yield shard(ids, words)
 
-    return stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, INDEX_SCHEMA), "postings")
+    shards = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, INDEX_SCHEMA)
+    return stored(shards.withColumn("shard", F.monotonically_increasing_id()), "postings")
 
 
 class Shard:
@@ -191,7 +192,7 @@ def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple]]:
 
 
 def phrase_hits(index: DataFrame, phrases: Phrases) -> DataFrame:
-    """(shard_doc, doc_id, n_words, spans, items): for every indexed document its hit word ranges, merged, and the items that occur in it."""
+    """(shard, place, doc_id, n_words, spans, items): for every indexed row its hit word ranges, merged, and the items that occur in it."""
     spark = index.sparkSession
     sent = spark.sparkContext.broadcast(phrases)
 
@@ -215,13 +216,13 @@ def phrase_hits(index: DataFrame, phrases: Phrases) -> DataFrame:
                     items[d].update(p.items[w])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(shard.doc_ids, pa.int64()), pa.array(shard.n_words, pa.int64()),
+                        pa.array([row["shard"]] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(shard.doc_ids, pa.int64()), pa.array(shard.n_words, pa.int64()),
                         pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string())),
                     ],
-                    ["doc_id", "n_words", "spans", "items"],
+                    ["shard", "place", "doc_id", "n_words", "spans", "items"],
                 )
 
-    return index.mapInArrow(run, "doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
+    return index.mapInArrow(run, "shard long, place int, doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, parts: int = PARTS, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -230,8 +231,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, parts
     items: (item_id, text). spans are the maximal word ranges that lie in occurrences of an item's windows
     (window consecutive words; a shorter item is one window). Items without words never occur; a null
     item_id marks words but is not listed. Null text has no words and is not contaminated. Rows that repeat
-    a doc_id are documents of their own, unless the items need several blocks: then their doc_id tells
-    documents apart, and such rows share their spans. Empty tables give no rows or no hits.
+    a doc_id, or have none, are documents of their own. Empty tables give no rows or no hits.
     """
     found = None
     index_of = None
@@ -248,8 +248,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, parts
     if len(found) > 1:
         for more in found[1:]:
             out = out.unionByName(more)
-        out = out.groupBy("doc_id").agg(
-            F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+        out = out.groupBy("shard", "place", "doc_id", "n_words").agg(
+            F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
         )
         out = out.withColumn(
             "spans",
@@ -261,7 +261,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, parts
             ),
         )
     n_hit = F.expr("aggregate(spans, 0L, (acc, x) -> acc + x.end - x.start)")
-    return out.withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * parts >= F.col("n_words")))
+    return out.drop("shard", "place").withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * parts >= F.col("n_words")))
 
 
 def near_words(index: DataFrame, words: list[str], within: int) -> DataFrame:

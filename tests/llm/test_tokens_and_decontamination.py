@@ -100,6 +100,14 @@ def test_decontamination_cases(spark, block_bytes):
     assert len(got) == len(texts)
 
 
+def test_rows_of_one_id_stay_apart_in_several_blocks(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    texts = [(1, "alpha beta gamma"), (1, "far " * 200 + "alpha beta"), (1, None), (None, "gamma delta"), (None, "x"), (None, None), (2, "beta gamma"), (2, "beta gamma")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    of = lambda block_bytes: sorted(map(str, decontaminate.decontaminate(frame, items, block_bytes=block_bytes, shard_bytes=20).collect()))
+    assert len(of(10)) == len(texts) and of(10) == of(1 << 20)
+
+
 def test_decontamination_odd_rows(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontaminate.decontaminate(odd(spark), items).count() == 11
