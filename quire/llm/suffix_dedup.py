@@ -16,6 +16,10 @@ bytes (leftmost on ties), which depends on the string alone. So
    after it in suffix order are asked for: one of them matches LENGTH bytes exactly if the least
    position of the run of suffixes that share LENGTH bytes is smaller than its own.
 
+Beside that it is told which documents share a passage of over PASSAGE words, as such a passage may be shorter than
+LENGTH bytes. Each run of PASSAGE + 1 words has an anchor of WORD_GRAM words, the least by hash, and two documents that
+share the run share its anchor; so every such passage is seen, and nothing under WORD_GRAM words is.
+
 Comparison is on bytes; hashes bring candidates together. A verdict goes back to the copies of a block by 128 bits of
 hash (its anchor's and its own) with its extent.
 """
@@ -34,6 +38,8 @@ from quire.llm.common import checkpointed, stored, table, whole_groups
 
 LENGTH = 400
 GRAM = 128
+PASSAGE = 50
+WORD_GRAM = 36
 #: Never a byte of UTF-8: stands where a block has no byte.
 NONE = 0xFF
 #: Distinct blocks that are ordered at a time (groups are never cut).
@@ -111,6 +117,51 @@ def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.
     return which, h[at].view(np.int64), at - base, s - base, e - base
 
 
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def _window_hashes(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: int) -> np.ndarray:
+    """A 64-bit hash of values[lo:hi] for each range: differences of prefix sums of a polynomial, shifted to their start."""
+    factor = np.uint64(base)
+    powers = np.multiply.accumulate(np.full(len(values) + 1, factor))
+    back = np.multiply.accumulate(np.full(len(values) + 1, np.uint64(pow(base, -1, 1 << 64))))
+    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[:-1])])
+    h = (run[hi] - run[lo]) * back[lo]
+    h ^= h >> np.uint64(32)
+    h *= MUL
+    return h ^ (h >> np.uint64(29))
+
+
+def word_anchors(texts: list[bytes], words: int = PASSAGE + 1, gram: int = WORD_GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hash) of the anchors of all runs of so many words, each once for a text. Words are what ASCII white space parts."""
+    buf = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    blank = SPACE[buf]
+    starts, ends = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1, np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+    none = np.zeros(0, np.int64)
+    if len(starts) < words:
+        return none, none
+    text_ends = np.cumsum([len(t) + 1 for t in texts])
+    of_text = np.searchsorted(text_ends, starts - 1, side="right")
+    word = _window_hashes(buf.astype(np.uint64) + np.uint64(1), starts, ends, 0xD6E8FEB86659FD93)
+    first = np.arange(len(starts) - gram + 1)
+    least = _window_hashes(word, first, first + gram, 0xC2B2AE3D27D4EB4F)
+    span, reach = words - gram + 1, 1
+    while reach * 2 <= span:
+        least = np.minimum(least[:-reach], least[reach:])
+        reach *= 2
+    if span > reach:
+        least = np.minimum(least[: len(least) - (span - reach)], least[span - reach :])
+    n = len(starts) - words + 1
+    least, which = least[:n], of_text[:n]
+    inside = which == of_text[words - 1 :]
+    least, which = least[inside], which[inside]
+    if not len(least):
+        return none, none
+    new = np.concatenate([[True], (least[1:] != least[:-1]) | (which[1:] != which[:-1])])
+    pairs = np.unique(np.stack([which[new], least[new].view(np.int64)]), axis=1)
+    return pairs[0], pairs[1]
+
+
 def suffix_matches(rows: np.ndarray, group: np.ndarray, rank: np.ndarray, starts: int, length: int, keep_first: bool) -> np.ndarray:
     """Flags (row, column) of the starts whose length bytes match those of another row of the group (an earlier one, if keep_first).
 
@@ -173,8 +224,9 @@ def _zipped(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "id0 long, row long, doc_id long, z binary")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none") -> DataFrame:
-    """(id0, row, spans array<struct<lo,hi>>): byte ranges covered by strings of length bytes that also start elsewhere.
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none", passage: int = PASSAGE) -> DataFrame:
+    """(id0, row, spans array<struct<lo,hi>>, shared boolean): byte ranges covered by strings of length bytes that also start
+    elsewhere, and whether another document has a passage of over passage words of this one; rows without either are left out.
 
     keep="none": every copy is covered; keep="first": all but the first copy by (doc_id, place).
     """
@@ -183,7 +235,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     keyed = _keyed(docs)
     starts = length - gram + 1
 
+    word_gram = max(1, (passage + 1) * WORD_GRAM // (PASSAGE + 1))
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id0", "row", "h", "words"]
         for b in batches:
             id0, row = b.column(0).to_numpy(), b.column(1).to_numpy()
             held, size, first = [], 0, 0
@@ -191,18 +246,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
                 held.append(b.column(2)[k].as_py().encode())
                 size += len(held[-1])
                 if size >= PIECE or k == b.num_rows - 1:
-                    which, h, at, lo, hi = anchors(held, length, gram)
-                    if len(which):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(id0[first + which]), pa.array(row[first + which]), pa.array(h), pa.array(at.astype(np.int32)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
-                            ["id0", "row", "h", "at", "lo", "hi"],
-                        )
+                    which, h, *_ = anchors(held, length, gram)
+                    of_words, more = word_anchors(held, passage + 1, word_gram)
+                    at, kind = first + np.concatenate([which, of_words]), np.repeat([False, True], [len(which), len(of_words)])
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (id0[at], row[at], np.concatenate([h, more]), kind)], names)
                     held, size, first = [], 0, k + 1
 
-    found = stored(keyed.select("id0", "row", "text").mapInArrow(find, "id0 long, row long, h long, at int, lo int, hi int"), "anchors")
+    found = stored(keyed.select("id0", "row", "text").mapInArrow(find, "id0 long, row long, h long, words boolean"), "anchors")
+    owner = F.xxhash64("id0", "row")
+    counts = found.groupBy("h", "words").agg(F.count("*").alias("n"), F.min(owner).alias("least"), F.max(owner).alias("largest"))
     # Checkpointed, so that the join has exchanges of its own and can split the rows of a hot anchor.
-    again = checkpointed(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
-    of_doc = found.join(again, "h", "left_semi").groupBy("id0", "row").agg(F.collect_set(F.struct("at", "lo", "hi", "h")).alias("anchors"))
+    again = checkpointed(counts.where("n > 1 and (not words or least <> largest)").select("h", "words"))
+    per = found.join(again, ["h", "words"], "left_semi").groupBy("id0", "row")
+    of_doc = stored(per.agg(F.collect_set(F.when(~F.col("words"), F.col("h"))).alias("anchors"), F.bool_or("words").alias("shared")), "shared-anchors")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -213,13 +270,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
             for k in range(b.num_rows):
                 text = expand(b.column(2)[k].as_py())
                 id0, row = b.column(0)[k].as_py(), b.column(1)[k].as_py()
-                out += [(id0, row, a["lo"], a["h"], a["at"] - a["lo"], a["hi"] - a["lo"] + 1, text[a["lo"] : a["hi"] + length]) for a in b.column(3)[k].as_py()]
+                # The places of its anchors are cheaper found again than shuffled.
+                wanted, (_, h, at, lo, hi) = b.column(3)[k].values.to_numpy(), anchors([text], length, gram)
+                own = np.isin(h, wanted)
+                places = zip(h[own].tolist(), at[own].tolist(), lo[own].tolist(), hi[own].tolist(), strict=True)
+                out += [(id0, row, x, a, p - x, y - x + 1, text[x : y + length]) for a, p, x, y in places]
                 if len(out) >= 10_000 or (k == b.num_rows - 1 and out):
                     types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["id0", "row", "lo", "h", "ahead", "n_starts", "block"])
                     out = []
 
-    joined = _zipped(keyed).join(of_doc, ["id0", "row"]).select("id0", "row", "z", "anchors")
+    joined = _zipped(keyed).join(of_doc.where("size(anchors) > 0"), ["id0", "row"]).select("id0", "row", "z", "anchors")
     blocks = stored(joined.mapInArrow(cut, "id0 long, row long, lo int, h long, ahead int, n_starts int, block binary"), "blocks")
     own = ["h", "ahead", "n_starts", "digest"]
     digest = F.xxhash64("block")
@@ -278,34 +339,34 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     if keep_first:
         is_first = (F.col("id0") == F.col("f0")) & (F.col("row") == F.col("f1")) & (F.col("lo") == F.col("f2"))
         runs = F.when(F.col("many") & ~is_first, F.array(F.struct(F.lit(0).alias("lo"), (F.col("n_starts") - 1 + length).alias("hi")))).otherwise(runs)
-    return (
-        both.select("id0", "row", F.col("lo").alias("at"), F.explode(runs).alias("run"))
-        .select("id0", "row", (F.col("at") + F.col("run.lo")).alias("lo"), (F.col("at") + F.col("run.hi")).alias("hi"))
-        .groupBy("id0", "row")
-        .agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    covered = both.select("id0", "row", F.col("lo").alias("at"), F.explode(runs).alias("run")).select(
+        "id0", "row", F.struct((F.col("at") + F.col("run.lo")).alias("lo"), (F.col("at") + F.col("run.hi")).alias("hi")).alias("span"), F.lit(False).alias("shared")
     )
+    others = of_doc.where("shared").select("id0", "row", F.lit(None).cast(covered.schema["span"].dataType).alias("span"), "shared")
+    return covered.unionByName(others).groupBy("id0", "row").agg(F.collect_set("span").alias("spans"), F.bool_or("shared").alias("shared"))
 
 
-def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none", with_text: bool = True) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, spans, kept_sha256[, text]) for each row of docs.
+def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none", with_text: bool = True, passage: int = PASSAGE) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, spans, kept_sha256, shared[, text]) for each row of docs.
 
     spans: maximal byte ranges [lo, hi) that are removed; text: what is left (a character that is cut is
-    dropped). Null text counts as empty, and texts shorter than length lose nothing. Rows that repeat, with
-    the same or no doc_id, are documents of their own and match each other; with keep="first" rows that
-    are the same in both doc_id and text count as one place and are kept together. An empty table gives
-    an empty table; other columns are not read.
+    dropped). shared: whether another document has a passage of over passage words of this one, also where it is too short
+    to be removed; every such passage counts, and shorter ones from about 0.7 of that may. Null text counts as empty, and texts
+    shorter than length lose nothing. Rows that repeat, with the same or no doc_id, are documents of their own and match
+    each other; with keep="first", and for shared, rows that are the same in both doc_id and text count as one
+    document. An empty table gives an empty table; other columns are not read.
     """
-    spans = repeated_spans(docs, length, gram, keep)
-    joined = _zipped(_keyed(docs)).join(spans, ["id0", "row"], "left").select("doc_id", "z", "spans")
+    spans = repeated_spans(docs, length, gram, keep, passage)
+    joined = _zipped(_keyed(docs)).join(spans, ["id0", "row"], "left").select("doc_id", "z", "spans", F.coalesce("shared", F.lit(False)).alias("shared"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         expand = zstandard.ZstdDecompressor().decompress
-        names = ["doc_id", "n_bytes", "n_removed", "spans", "kept_sha256", *(["text"] if with_text else [])]
+        names = ["doc_id", "n_bytes", "n_removed", "spans", "kept_sha256", "shared", *(["text"] if with_text else [])]
         for b in batches:
             out = []
-            for doc_id, z, found in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+            for doc_id, z, found, shared in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 text = expand(z.as_py())
                 merged: list[list[int]] = []
                 for lo, hi in sorted((x["lo"], x["hi"]) for x in found or []):
@@ -318,14 +379,14 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, kee
                     kept.append(text[at:lo])
                     at = hi
                 rest = b"".join([*kept, text[at:]])
-                out.append((doc_id, len(text), len(text) - len(rest), [{"lo": x, "hi": y} for x, y in merged], hashlib.sha256(rest).hexdigest(), *([rest.decode(errors="ignore")] if with_text else [])))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])), pa.string(), pa.string()]
+                out.append((doc_id, len(text), len(text) - len(rest), [{"lo": x, "hi": y} for x, y in merged], hashlib.sha256(rest).hexdigest(), shared, *([rest.decode(errors="ignore")] if with_text else [])))
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])), pa.string(), pa.bool_(), pa.string()]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=False)], names)
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, spans array<struct<lo:long,hi:long>>, kept_sha256 string" + (", text string" if with_text else ""))
+    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, spans array<struct<lo:long,hi:long>>, kept_sha256 string, shared boolean" + (", text string" if with_text else ""))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
-    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "shared")

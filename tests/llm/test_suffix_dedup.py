@@ -36,10 +36,40 @@ def result(frame):
 
 
 def test_whole_table_against_brute_force(spark, small):
-    got = sorted(tuple(r) for r in suffix_dedup.op4_suffix_dedup(spark, small).collect())
+    found = suffix_dedup.op4_suffix_dedup(spark, small).collect()
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found)
     d = pd.read_parquet(f"{small}/documents.parquet")
-    assert got == sorted(slow(list(zip(d.doc_id, d.text, strict=True)), 400))
+    rows = list(zip(d.doc_id, d.text, strict=True))
+    assert got == sorted(slow(rows, 400))
     assert any(r[2] for r in got)
+    over_50, over_35 = slow_shared(rows, 51), slow_shared(rows, 36)
+    shared = {r.doc_id for r in found if r.shared}
+    assert over_50 <= shared <= over_35 and over_50
+
+
+def slow_shared(rows, words):
+    """Ids of the rows of which another has so many words in a row."""
+    who = defaultdict(set)
+    runs = {d: {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} for d, t in rows for w in [(t or "").encode().split()]}
+    for d, own in runs.items():
+        for x in own:
+            who[x].add(d)
+    return {d for own in who.values() if len(own) > 1 for d in own}
+
+
+def test_passages_of_other_documents(spark):
+    """A passage of 51 short words is under 400 bytes: it is reported, not removed; a document that repeats itself alone is not."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 6)))
+    passages = [" ".join(word() for _ in range(51)) for _ in range(20)]
+    texts = []
+    for p in passages:
+        texts += [f"{word()} {p}\n{word()}", f"{p}\t{word()} {word()}"]
+    alone = " ".join(word() for _ in range(60))
+    texts += [f"{alone} {alone}", " ".join(passages[0].split()[:35]) + f" {word()}", " ".join(word() for _ in range(90)), None, "", "x" * 100_000]
+    got = {r.doc_id: r for r in suffix_dedup.substring_dedup(docs(spark, texts)).collect()}
+    assert [got[d].shared for d in range(len(texts))] == [True] * 40 + [False] * 6
+    assert not any(got[d].n_removed for d in range(len(texts)) if d < 45)
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
