@@ -7,8 +7,13 @@ next. Phrases are found by taking the postings of a phrase's rarest term in the
 and intersecting them with the shifted postings of the other terms, rarest first. No shard sees another's
 postings, so nothing is shuffled, and a term that is in every document costs a shard only its own postings.
 
-Test items are broadcast in blocks of at most BLOCK_BYTES of text; a larger benchmark is searched block by
-block and the spans of a row are merged afterwards, told apart by the number of its shard and its place in it.
+Proximity matches take the words of a window in any order within NEAR times its length: occurrences of its rarest
+term are kept while every other term, rarest first, stands close enough.
+
+Test items are broadcast in blocks of at most BLOCK_BYTES of text, which are about three times as much in memory (the
+items' words as numbers, and where each window begins). A larger benchmark is searched block by block, each block's
+hits are stored before the next is sent, and the hits of a row are merged afterwards, told apart by the number of its
+shard and its place in it.
 """
 
 from __future__ import annotations
@@ -26,8 +31,11 @@ from quire.llm.common import stored, table
 WINDOW = 13
 #: A document is contaminated if PARTS * hit words >= all its words.
 PARTS = 20
+NEAR = 2
 SHARD_BYTES = 8 << 20
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
+#: Occurrences of rarest terms that are followed at a time.
+AT_A_TIME = 1 << 20
 #: Bytes to words: A-Z become a-z; a-z, 0-9 and all beyond ASCII stay; the rest separates.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -111,30 +119,70 @@ class Shard:
         at = np.searchsorted(self.keys, want)
         return (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] == want) if len(self.keys) else np.zeros(len(want), bool)
 
-    def phrases(self, windows: np.ndarray, lengths: np.ndarray, terms: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(window, start) of every occurrence. windows: term numbers (row per phrase, -1 beyond its length)."""
-        local = np.array([self.local.get(t, -1) for t in terms] + [-1], np.int64)
-        own = local[windows]
-        inside = np.arange(windows.shape[1]) < lengths[:, None]
-        live = np.flatnonzero(((own >= 0) | ~inside).all(axis=1))
+    def candidates(self, p: Phrases) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(window, places of the rarest term, terms by rarity, their offsets, window lengths), row by row for each occurrence of the
+        rarest term of each window whose terms the shard has; at most about AT_A_TIME rows at a time."""
+        local = np.fromiter(map(self.local.get, p.terms, repeat(-1)), np.int64, len(p.terms))
+        known = np.concatenate([[0], np.cumsum(local[p.words] >= 0)])
+        live = np.flatnonzero(known[p.starts + p.lengths] - known[p.starts] == p.lengths)
         if not len(live):
-            return live, live
-        own, inside = own[live], inside[live]
-        rarity = np.where(inside, self.counts[own], np.iinfo(np.int64).max)
-        offsets = np.argsort(rarity, axis=1, kind="stable")
-        own = np.take_along_axis(own, offsets, 1)
-        n = self.counts[own[:, 0]]
-        which = np.repeat(np.arange(len(live)), n)
-        nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        start = self.positions[self.first[own[which, 0]] + nth] - offsets[which, 0]
-        which, start = which[start >= 0], start[start >= 0]
-        for r in range(1, windows.shape[1]):
-            if not len(which):
-                break
-            off = offsets[which, r]
-            ok = (off >= lengths[live][which]) | self.has(own[which, r], start + off)
-            which, start = which[ok], start[ok]
-        return live[which], start
+            return
+        column = np.arange(p.window)
+        least = np.minimum.reduceat(np.where(local[p.words] >= 0, self.counts[local[p.words]], 0), np.column_stack([p.starts[live], p.starts[live] + p.lengths[live] - 1]).ravel())[::2]
+        least = np.minimum(least, self.counts[local[p.words[p.starts[live] + p.lengths[live] - 1]]])
+        group = np.cumsum(least) // AT_A_TIME
+        for part in np.split(live, np.flatnonzero(group[1:] != group[:-1]) + 1):
+            inside = column < p.lengths[part][:, None]
+            own = local[p.words[np.minimum(p.starts[part][:, None] + column, len(p.words) - 1)]]
+            offsets = np.argsort(np.where(inside, self.counts[own], np.iinfo(np.int64).max), axis=1, kind="stable")
+            own = np.take_along_axis(own, offsets, 1)
+            n = self.counts[own[:, 0]]
+            row = np.repeat(np.arange(len(part)), n)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            yield part[row], self.positions[self.first[own[row, 0]] + nth], own[row], offsets[row], p.lengths[part[row]]
+
+    def phrases(self, p: Phrases) -> tuple[np.ndarray, np.ndarray]:
+        """(window, start) of every occurrence."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for which, place, own, offsets, size in self.candidates(p):
+            start = place - offsets[:, 0]
+            alive = np.flatnonzero(start >= 0)
+            for r in range(1, p.window):
+                if not len(alive):
+                    break
+                off = offsets[alive, r]
+                alive = alive[(off >= size[alive]) | self.has(own[alive, r], start[alive] + off)]
+            found.append((which[alive], start[alive]))
+        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+    def nearby(self, p: Phrases, wide: int = NEAR) -> tuple[np.ndarray, np.ndarray]:
+        """(window, a place of its rarest term) of spans of at most wide * length words of a document that hold all terms of a window."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for which, place, own, offsets, size in self.candidates(p):
+            alive = np.arange(len(which))
+            for r in range(1, p.window):
+                if not len(alive):
+                    break
+                reach = size[alive] * wide - 1
+                at = np.searchsorted(self.keys, own[alive, r] * self.span + np.maximum(place[alive] - reach, 0))
+                ok = self.keys[np.minimum(at, len(self.keys) - 1)] <= own[alive, r] * self.span + place[alive] + reach
+                alive = alive[(offsets[alive, r] >= size[alive]) | (ok & (at < len(self.keys)))]
+            # Each term is near the rarest one; whether all are in one span is seen for the few that are left.
+            alive = alive[[self._in_one_span(own[k, : size[k]], int(place[k]), int(size[k]) * wide) for k in alive.tolist()]] if len(alive) else alive
+            found.append((which[alive], place[alive]))
+        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+    def _in_one_span(self, terms: np.ndarray, place: int, within: int) -> bool:
+        d = int(np.searchsorted(self.base, place, side="right")) - 1
+        lo, hi = max(int(self.base[d]), place - within + 1), min(int(self.base[d + 1]) - 1, place + within)
+        lists = []
+        for t in set(terms.tolist()):
+            a, b = np.searchsorted(self.keys, [t * self.span + lo, t * self.span + hi])
+            lists.append(self.keys[a:b] - t * self.span)
+        for left in range(lo, place + 1):
+            if all(((x >= left) & (x < left + within)).any() for x in lists):
+                return True
+        return False
 
     def documents(self, place: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.base, place, side="right") - 1
@@ -160,23 +208,25 @@ class Shard:
 
 
 class Phrases:
-    """The windows of a block of test items, each distinct window once, with the items that have it."""
+    """The windows of a block of test items: the items' words as numbers, where each window begins, and whose it is."""
 
     def __init__(self, items: Iterable[tuple], window: int = WINDOW):
         number: dict[str, int] = {}
-        seen: dict[tuple, set] = {}
+        words, starts, lengths, owner = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        self.items: list[str | None] = []
+        at = 0
         for item_id, text in items:
-            words = [number.setdefault(w.decode(errors="replace"), len(number)) for w in words_of(text)]
-            for at in range(max(1, len(words) - window + 1) if words else 0):
-                own = seen.setdefault(tuple(words[at : at + window]), set())
-                if item_id is not None:
-                    own.add(str(item_id))
-        self.terms = list(number)
-        self.items = [sorted(x) for x in seen.values()]
-        self.lengths = np.array([len(x) for x in seen], np.int64)
-        self.windows = np.full((len(seen), window), -1, np.int64)
-        for i, x in enumerate(seen):
-            self.windows[i, : len(x)] = x
+            own = [number.setdefault(w.decode(errors="replace"), len(number)) for w in words_of(text)]
+            if own:
+                n = max(1, len(own) - window + 1)
+                words.append(np.array(own, np.int32))
+                starts.append(at + np.arange(n))
+                lengths.append(np.full(n, min(len(own), window)))
+                owner.append(np.full(n, len(self.items), np.int32))
+                self.items.append(None if item_id is None else str(item_id))
+                at += len(own)
+        self.window, self.terms = window, list(number)
+        self.words, self.starts, self.lengths, self.owner = (np.concatenate(x) for x in (words, starts, lengths, owner))
 
 
 def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple]]:
@@ -191,17 +241,19 @@ def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple]]:
         yield held
 
 
-def phrase_hits(index: DataFrame, phrases: Phrases) -> DataFrame:
-    """(shard, place, doc_id, n_words, spans, items): for every indexed row its hit word ranges, merged, and the items that occur in it."""
-    spark = index.sparkSession
-    sent = spark.sparkContext.broadcast(phrases)
+HITS = "shard long, place int, doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>, near array<string>, whole boolean"
+
+
+def phrase_hits(index: DataFrame, sent, near: bool = True) -> DataFrame:
+    """(HITS): for every indexed row its hit word ranges, merged, the items that occur in it, those that occur in it or near (null
+    if near is false) and whether a window of full length occurs. sent: a broadcast of Phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = sent.value
         for batch in batches:
-            for i, row in enumerate(batch.to_pylist()):
+            for row in batch.to_pylist():
                 shard = Shard(row)
-                which, start = shard.phrases(p.windows, p.lengths, p.terms)
+                which, start = shard.phrases(p)
                 edge = np.zeros(shard.span + 1, np.int64)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + p.lengths[which], -1)
@@ -211,46 +263,58 @@ def phrase_hits(index: DataFrame, phrases: Phrases) -> DataFrame:
                 spans: list[list] = [[] for _ in range(n)]
                 for d, a, b in zip(shard.documents(lo).tolist(), lo.tolist(), hi.tolist(), strict=True):
                     spans[d].append({"start": a - int(shard.base[d]), "end": b - int(shard.base[d])})
-                items: list[set] = [set() for _ in range(n)]
-                for d, w in set(zip(shard.documents(start).tolist(), which.tolist(), strict=True)):
-                    items[d].update(p.items[w])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["shard"]] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(shard.doc_ids, pa.int64()), pa.array(shard.n_words, pa.int64()),
-                        pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                    ],
-                    ["shard", "place", "doc_id", "n_words", "spans", "items"],
-                )
 
-    return index.mapInArrow(run, "shard long, place int, doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
+                def named(which: np.ndarray, place: np.ndarray, shard: Shard = shard, n: int = n) -> list[set]:
+                    own: list[set] = [set() for _ in range(n)]
+                    for d, k in set(zip(shard.documents(place).tolist(), p.owner[which].tolist(), strict=True)):
+                        if p.items[k] is not None:
+                            own[d].add(p.items[k])
+                    return own
+
+                items = named(which, start)
+                close = [sorted(x | y) for x, y in zip(named(*shard.nearby(p)), items, strict=True)] if near else [None] * n
+                whole = np.zeros(n, bool)
+                whole[shard.documents(start[p.lengths[which] == p.window])] = True
+                cols = [[row["shard"]] * n, range(n), shard.doc_ids, shard.n_words, spans, [sorted(x) for x in items], close, whole]
+                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.string()), pa.list_(pa.string()), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [x.split()[0] for x in HITS.split(", ")])
 
+    return index.mapInArrow(run, HITS)
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, parts: int = PARTS, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(doc_id, n_words, spans, items, n_hit, contaminated), one row for each row of docs.
+
+def decontaminate(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, parts: int = PARTS, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, index: DataFrame | None = None, near: bool = True
+) -> DataFrame:
+    """(doc_id, n_words, spans, items, near, whole, n_hit, contaminated), one row for each row of docs.
 
     items: (item_id, text). spans are the maximal word ranges that lie in occurrences of an item's windows
-    (window consecutive words; a shorter item is one window). Items without words never occur; a null
-    item_id marks words but is not listed. Null text has no words and is not contaminated. Rows that repeat
-    a doc_id, or have none, are documents of their own. Empty tables give no rows or no hits.
+    (window consecutive words; a shorter item is one window). near: the items of which a window's words stand, in any
+    order, within NEAR times its length (exact occurrences are among them); null if near is false. whole: whether a window
+    of full length occurs. Items without words never occur; a null item_id marks words but is not listed. Null text has no
+    words and is not contaminated. Rows that repeat a doc_id, or have none, are documents of their own. Empty tables give
+    no rows or no hits. index: a stored index of docs, with all terms or those of items; it is built if there is none.
     """
-    found = None
-    index_of = None
-    for block in _blocks(items.select("item_id", "text"), block_bytes):
+    spark = docs.sparkSession
+    blocks = _blocks(items.select("item_id", "text"), block_bytes)
+    block, following = next(blocks, []), next(blocks, None)
+    found: list[DataFrame] = []
+    while block is not None:
         phrases = Phrases(block, window)
-        if index_of is None:
-            one = len(block) and items.agg(F.sum(F.length("text"))).first()[0] or 0
-            index_of = build_index(docs, set(phrases.terms) if one < block_bytes else None, shard_bytes)
-        hits = phrase_hits(index_of, phrases)
-        found = [hits] if found is None else [*found, hits]
-    if found is None:
-        found = [phrase_hits(build_index(docs, set(), shard_bytes), Phrases([], window))]
+        if index is None:
+            index = build_index(docs, set(phrases.terms) if following is None else None, shard_bytes)
+        sent = spark.sparkContext.broadcast(phrases)
+        hits = phrase_hits(index, sent, near)
+        if following is not None or found:
+            hits = stored(hits if not found else hits.where("size(spans) > 0 or size(near) > 0"), "benchmark-hits")
+            sent.unpersist()
+        found.append(hits)
+        block, following = following, next(blocks, None) if following is not None else None
     out = found[0]
     if len(found) > 1:
         for more in found[1:]:
             out = out.unionByName(more)
-        out = out.groupBy("shard", "place", "doc_id", "n_words").agg(
-            F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-        )
+        every = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+        out = out.groupBy("shard", "place").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), every("spans"), every("items"), every("near"), F.bool_or("whole").alias("whole"))
         out = out.withColumn(
             "spans",
             F.expr(
@@ -260,6 +324,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, parts
                       concat(acc, array(x))))"""
             ),
         )
+        if not near:
+            out = out.withColumn("near", F.lit(None).cast("array<string>"))
     n_hit = F.expr("aggregate(spans, 0L, (acc, x) -> acc + x.end - x.start)")
     return out.drop("shard", "place").withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * parts >= F.col("n_words")))
 
@@ -279,16 +345,23 @@ def near_words(index: DataFrame, words: list[str], within: int) -> DataFrame:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=False)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
     )
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs without contaminated documents; all columns stay. Rows without doc_id stay."""
-    bad = decontaminate(docs, items).where("contaminated").select(F.col("doc_id").alias("__quire_bad")).distinct()
-    return docs.join(bad, docs.doc_id == F.col("__quire_bad"), "left_anti")
+    """docs without the documents in which a window of full length occurs, or that are contaminated by shorter items.
+
+    A passage of an item may be a small part of a long document and yet teach the answer, so the share of hit words only
+    decides about items that are shorter than a window. All columns stay; every row is judged by its own text, also if it
+    repeats a doc_id or has none; null and empty texts stay; with no items, all rows do.
+    """
+    own = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = decontaminate(docs.select(own.alias("doc_id"), "text"), items, near=False)
+    bad = found.where("whole or contaminated").select(F.col("doc_id").alias("__quire_bad")).distinct()
+    return docs.join(bad, own == F.col("__quire_bad"), "left_anti")
 
 
 OP1_SQL = r"""

@@ -1,10 +1,12 @@
 import hashlib
+import random
 import re
 import zlib
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quire.llm import decontaminate, token_store
@@ -124,3 +126,43 @@ def test_near_words(spark):
     got = {(r.doc_id, r.start) for r in decontaminate.near_words(index, ["red", "blue"], 4).collect()}
     assert {d for d, _ in got} == {0, 1, 4}
     assert (0, 0) in got and (1, 0) in got
+
+
+def slow_near(texts, items, window, wide):
+    """{number of the text: items of which all words of a window stand in some span of wide * its length words}."""
+    out = {}
+    for d, t in enumerate(texts):
+        w, own = low_words(t), set()
+        for i, x in items:
+            iw = low_words(x)
+            for a in range(max(1, len(iw) - window + 1) if iw else 0):
+                part = iw[a : a + window]
+                if any(set(part) <= set(w[k : k + wide * len(part)]) for k in range(len(w))):
+                    own.add(str(i))
+        out[d] = sorted(own)
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
+def test_near_items_against_brute_force(spark, block_bytes):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(0, 60))) for _ in range(60)] + [None]
+    given = [(i, " ".join(rng.choice("abcdefghz") for _ in range(rng.randrange(0, 8)))) for i in range(20)]
+    items = spark.createDataFrame(given, "item_id long, text string")
+    got = decontaminate.decontaminate(docs(spark, texts), items, window=5, block_bytes=block_bytes, shard_bytes=100).collect()
+    assert {r.doc_id: r.near for r in got} == slow_near(texts, given, 5, decontaminate.NEAR)
+    assert all(set(r["items"]) <= set(r.near) for r in got)
+
+
+def test_a_passage_in_a_long_document_is_dropped(spark):
+    """13 words of an item are far under a twentieth of the document: op1 doesn't call it contaminated, the filter drops it."""
+    passage = " ".join(f"secret{i}" for i in range(13))
+    items = spark.createDataFrame([(1, f"{passage} and more"), (2, "tiny item")], "item_id long, text string")
+    filler = " ".join(f"w{i}" for i in range(2000))
+    texts = [f"{filler} {passage} {filler}", filler, f"{filler} tiny item", "a tiny item", None, "", f"{filler} {' '.join(passage.split()[:12])}"]
+    frame = docs(spark, texts).withColumn("doc_id", F.when(F.col("doc_id") < 2, F.lit(7)).otherwise(F.col("doc_id")))  # two rows of one id
+    got = {r.doc_id: r for r in decontaminate.decontaminate(docs(spark, texts), items).collect()}
+    assert [got[d].whole for d in range(7)] == [True] + [False] * 6 and [got[d].contaminated for d in range(7)] == [False, False, False, True, False, False, False]
+    kept = decontaminate.without_contaminated(frame, items)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted((7 if d < 2 else d, texts[d] or "") for d in (1, 2, 4, 5, 6))
