@@ -149,3 +149,72 @@ def test_secrets_odd_rows(spark):
     assert secrets_scan.secrets(empty(spark)).count() == 0
     clean = secrets_scan.redacted(docs(spark, ["é password=hunter22 end", None]))
     assert [r.text for r in clean.orderBy("doc_id").collect()] == ["é [SECRET] end", None] and clean.columns == odd(spark).columns
+
+
+NESTED = """
+{
+  "database": {"user": "admin", "password": "Zx81-kkQ2-pp"},
+  "auth": {
+    "value": "n0t-A-word-77x"
+  },
+  "plain": {"value": "n0t-A-word-78x"}
+}
+credentials:
+  first: tR4-99-qwLpZ
+  - second: "tR5-99-qwLpZ"
+other: tR6-99-qwLpZ
+[api token]
+live = sk9x8w7v6u5t
+[paths]
+live = /usr/lib/x9x8w7v6
+db_password: str = "Ann0-tated-11"
+signing_key: Optional[str] = 'Ann1-tated-11'
+const clientSecret: string | null = `Ann2-tated-11`
+private_key = '''line-1-Ab9
+'''
+"""
+
+
+def test_lexer_reads_nesting_types_and_long_quotes():
+    got = {(name, literal) for _, _, name, literal, _ in secrets_scan.lexed(NESTED)}
+    assert {x for _, x in got} == {
+        "Zx81-kkQ2-pp", "n0t-A-word-77x", "tR4-99-qwLpZ", "tR5-99-qwLpZ", "sk9x8w7v6u5t", "Ann0-tated-11", "Ann1-tated-11", "Ann2-tated-11",
+    }
+    assert ("db_password", "Ann0-tated-11") in got and ("clientSecret", "Ann2-tated-11") in got
+    assert {x for _, _, _, x, _ in secrets_scan.lexed("a = \"\"\"q7W-e8R\n\"\"\"\npassword = \"\"\"q7W-e8R-t9Y\"\"\" + 1")} == {"q7W-e8R-t9Y"}
+
+
+def test_long_constants_are_propagated():
+    """A name keeps its latest value however long that is, and doubling doesn't grow what is held."""
+    long = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(5_000))
+    hits = secrets_scan.lexed(f'part = "shrt-1-Literal"\npart = "{long}"\npassword = part\n')
+    assert [(name, x) for _, _, name, x, _ in hits] == [("password", long)]
+    doubled = 'a = "xY7-seed-Q9"\n' + "a = a + a\n" * 200 + "secret = a\n"
+    assert [(name, x) for _, _, name, x, _ in secrets_scan.lexed(doubled)] == [("secret", "xY7-seed-Q9")]
+    chain = 'p0 = "aB3-x"\n' + "".join(f'p{i} = p{i - 1} + "k{i}-Z"\n' for i in range(1, 3000)) + "token = p2999"
+    assert len(secrets_scan.lexed(chain)) == 3000
+
+
+def slow_pairs(text, threshold=0.5):
+    """Spans of one-line pairs of a plain name and one quoted or bare literal, told line by line without the lexer's patterns."""
+    out = set()
+    for m in re.finditer(r"[^\n]*\n?", text):
+        line = m[0].rstrip("\n")
+        hit = re.fullmatch(r"(\w+) = (?:\"([^\"\\\\]*)\"|'([^'\\\\]*)'|([A-Za-z0-9+/_.-]{6,}))", line)
+        if hit:
+            k = next(k for k in (2, 3, 4) if hit[k] is not None)
+            if secrets_scan.name_score(hit[1]) >= 0.5 and secrets_scan.name_score(hit[1]) * secrets_scan.literal_score(hit[k]) >= threshold:
+                out.add((m.start() + hit.start(k), m.start() + hit.end(k)))
+    return out
+
+
+def test_lexer_against_plain_lines():
+    rng = random.Random(2)
+    names = ["password", "user", "api_key", "color", "authToken", "size", "client_secret", "note_text"]
+    make = lambda: "".join(rng.choice("abcXYZ0189-_/.") for _ in range(rng.randrange(1, 24)))
+    for _ in range(300):
+        lines = [f"{rng.choice(names)} = {q}{make()}{q}" for q in rng.choices(['"', "'", ""], k=6)]
+        text = "\n".join(lines)
+        got = {(a, b) for a, b, *_ in secrets_scan.lexed(text)}
+        assert slow_pairs(text) <= got
+        assert all(any(a <= x and y <= b for a, b in slow_pairs(text)) or re.search(r"= [^\"'\n]{0,5}$|= \W", "\n".join(lines), re.M) or text[x:y] in names for x, y in got)
