@@ -22,6 +22,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
 SEED = 17
+PREFIX = "mix_"
 BUCKETS = 4096
 #: Up to so many sources (under 200 bytes each) the plan is broadcast; beyond that it is joined by shuffling.
 MOST_BROADCAST = 50_000
@@ -53,23 +54,26 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, mo
     )
 
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most_epochs: float = MOST_EPOCHS, seed: int = SEED, buckets: int = BUCKETS) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most_epochs: float = MOST_EPOCHS, seed: int = SEED, buckets: int = BUCKETS, size: str | None = None, prefix: str = PREFIX) -> DataFrame:
     """docs with columns mix_size, mix_source_size, mix_target and mix_taken (words taken, repeats counted).
 
-    docs needs doc_id, source and text, or mix_size (words) in place of text; other columns pass through
-    (columns of those four names are replaced). Null text has no words and takes none. Null source is a
-    source of its own, the last. Rows that repeat each count; rows with the same doc_id share a place in
-    the order and are told apart by text. Reruns agree, as the order is a seeded hash.
+    docs needs doc_id, source and text; if size names a column, that has the words of each row and text isn't needed. Other
+    columns pass through; columns of those four names (which begin with prefix) are replaced and, but for size, not read.
+    Null text has no words and takes none. Null source is a source of its own, the last. Rows that repeat each count; rows
+    with the same doc_id share a place in the order and are told apart by text. Reruns agree, as the order is a seeded
+    hash. An empty table gives an empty table.
     """
-    rows = docs if "mix_size" in docs.columns else docs.withColumn("mix_size", n_words(F.col("text")))
-    tie = F.xxhash64("doc_id", "text") if "text" in docs.columns else F.xxhash64("doc_id", "mix_size")
+    n_size, n_source, n_target, n_taken = (prefix + x for x in ("size", "source_size", "target", "taken"))
+    words = n_words(F.col("text")) if size is None else F.coalesce(F.col(size), F.lit(0)).cast("long")
+    tie = F.xxhash64("doc_id", "text") if "text" in docs.columns else F.xxhash64("doc_id", words)
     draw = F.xxhash64(F.lit(seed), "doc_id")
-    rows = rows.drop("mix_source_size", "mix_target", "mix_taken").withColumns({"__quire_draw": draw, "__quire_bucket": F.pmod(F.shiftrightunsigned(draw, 20), F.lit(buckets)).cast("int"), "__quire_tie": tie})
-    by_bucket = checkpointed(rows.groupBy("source", "__quire_bucket").agg(F.sum("mix_size").alias("n")))
+    rows = docs.withColumns({"__quire_size": words, "__quire_draw": draw, "__quire_bucket": F.pmod(F.shiftrightunsigned(draw, 20), F.lit(buckets)).cast("int"), "__quire_tie": tie})
+    rows = rows.drop(n_size, n_source, n_target, n_taken).withColumnRenamed("__quire_size", n_size)
+    by_bucket = checkpointed(rows.groupBy("source", "__quire_bucket").agg(F.sum(n_size).alias("n")))
     goal = targets(by_bucket.select("source", F.col("n").alias("size")), weights, share, most_epochs)
     goal = goal.withColumn("__quire_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     goal = goal.withColumn("__quire_quota", F.round("target").cast("long") - F.col("__quire_whole") * F.col("source_size"))
-    goal = goal.select(F.col("source").alias("__quire_s"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), "__quire_whole", "__quire_quota")
+    goal = goal.select(F.col("source").alias("__quire_s"), F.col("source_size").alias(n_source), F.col("target").alias(n_target), "__quire_whole", "__quire_quota")
     # Where each source's quota ends: one row for each source. The window runs over at most BUCKETS rows a source.
     run = Window.partitionBy("source").orderBy("__quire_bucket").rowsBetween(Window.unboundedPreceding, -1)
     ends = (
@@ -78,38 +82,49 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most_ep
         .where("__quire_before <= __quire_quota and __quire_quota < __quire_before + n")
         .select(F.col("__quire_s").alias("__quire_e"), F.col("__quire_bucket").alias("__quire_end"), (F.col("__quire_quota") - F.col("__quire_before")).alias("__quire_left"))
     )
+    end = F.coalesce("__quire_end", F.when(F.col("__quire_quota") > 0, F.lit(buckets)).otherwise(F.lit(-1)))
     # checkpointed: a row for each source, used by both branches below.
-    plan = checkpointed(goal.join(ends, F.col("__quire_s").eqNullSafe(F.col("__quire_e")), "left").select("__quire_s", "mix_source_size", "mix_target", "__quire_whole", "__quire_quota", F.coalesce("__quire_end", F.when(F.col("__quire_quota") > 0, F.lit(buckets)).otherwise(F.lit(-1))).alias("__quire_end"), F.coalesce("__quire_left", F.lit(0)).alias("__quire_left")))
+    plan = goal.join(ends, F.col("__quire_s").eqNullSafe(F.col("__quire_e")), "left")
+    plan = checkpointed(plan.select("__quire_s", n_source, n_target, "__quire_whole", "__quire_quota", end.alias("__quire_end"), F.coalesce("__quire_left", F.lit(0)).alias("__quire_left")))
     keep = [c for c in rows.columns if c not in ("__quire_draw", "__quire_bucket", "__quire_tie")]
     if plan.count() <= MOST_BROADCAST:
         plan = F.broadcast(plan)
     planned = rows.join(plan, F.col("source").eqNullSafe(F.col("__quire_s")), "inner")
-    base = F.col("__quire_whole") * F.col("mix_size")
-    clear = planned.where("__quire_bucket <> __quire_end").withColumn("mix_taken", base + F.when(F.col("__quire_bucket") < F.col("__quire_end"), F.col("mix_size")).otherwise(F.lit(0)))
-    order = Window.partitionBy("source").orderBy("__quire_draw", "__quire_tie", "mix_size").rowsBetween(Window.unboundedPreceding, -1)
-    last = planned.where("__quire_bucket = __quire_end").withColumn("__quire_before", F.coalesce(F.sum("mix_size").over(order), F.lit(0)))
-    last = last.withColumn("mix_taken", base + F.greatest(F.lit(0), F.least(F.col("mix_size"), F.col("__quire_left") - F.col("__quire_before"))))
-    out = [*keep, "mix_source_size", "mix_target", "mix_taken"]
+    base = F.col("__quire_whole") * F.col(n_size)
+    clear = planned.where("__quire_bucket <> __quire_end").withColumn(n_taken, base + F.when(F.col("__quire_bucket") < F.col("__quire_end"), F.col(n_size)).otherwise(F.lit(0)))
+    order = Window.partitionBy("source").orderBy("__quire_draw", "__quire_tie", n_size).rowsBetween(Window.unboundedPreceding, -1)
+    last = planned.where("__quire_bucket = __quire_end").withColumn("__quire_before", F.coalesce(F.sum(n_size).over(order), F.lit(0)))
+    last = last.withColumn(n_taken, base + F.greatest(F.lit(0), F.least(F.col(n_size), F.col("__quire_left") - F.col("__quire_before"))))
+    out = [*keep, n_source, n_target, n_taken]
     return clear.select(*out).unionByName(last.select(*out))
 
 
-def repeated(mixed: DataFrame) -> DataFrame:
-    """The rows of mix() as often as they are taken; a part of a document is its first words.
+def repeated(mixed: DataFrame, prefix: str = PREFIX) -> DataFrame:
+    """The rows of mix() as often as they are taken, without its four columns; a part of a document is its first words.
 
-    Rows of which nothing is taken go, so documents without words do.
+    Rows of which nothing is taken go, so documents without words (null and empty texts) do; an empty table stays empty.
     """
-    part = F.col("mix_taken") % F.col("mix_size")
+    n_size, n_taken = F.col(prefix + "size"), F.col(prefix + "taken")
+    part = n_taken % n_size
     pieces = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
-    whole = F.array_repeat(F.col("text"), F.floor(F.col("mix_taken") / F.col("mix_size")).cast("int"))
+    whole = F.array_repeat(F.col("text"), F.floor(n_taken / n_size).cast("int"))
     texts = F.when(part > 0, F.concat(whole, F.array(F.array_join(F.slice(pieces, F.lit(1), part.cast("int")), "")))).otherwise(whole)
-    names = [c for c in mixed.columns if not c.startswith("mix_")]
-    return mixed.where("mix_taken > 0").withColumn("text", F.explode(texts)).select(*names)
+    own = [prefix + x for x in ("size", "source_size", "target", "taken")]
+    return mixed.where(n_taken > 0).withColumn("text", F.explode(texts)).drop(*own)
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """docs as often as the default mix takes them, with the columns of docs and no others, whatever their names.
+
+    Documents without words go, rows that repeat each count, rows without source are a source; an empty table stays empty.
+    """
+    return repeated(mix(docs, prefix="__quire_mix_"), "__quire_mix_").select(*docs.columns)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sizes = checkpointed(docs.select("doc_id", "source", n_words(F.col("text")).alias("mix_size")))
-    return mix(sizes).select(
+    sizes = checkpointed(docs.select("doc_id", "source", n_words(F.col("text")).alias("words")))
+    return mix(sizes, size="words").select(
         "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken")
     )
 

@@ -82,5 +82,16 @@ def test_mixing_odd_rows(spark):
     out = mixing.repeated(got)
     assert out.columns == odd(spark).columns
     assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in out.collect()) == sum(r.mix_taken for r in rows)
+    assert mixing.mixed_documents(odd(spark)).columns == odd(spark).columns and mixing.mixed_documents(empty(spark)).count() == 0
     assert mixing.mix(empty(spark)).count() == 0 and mixing.repeated(mixing.mix(empty(spark))).count() == 0
     assert mixing.mix(docs(spark, [None, ""])).select("mix_taken").distinct().collect()[0][0] == 0
+
+
+def test_columns_of_the_mix_s_own_names(spark):
+    """A column mix_size of the input isn't taken for word counts, and user columns that begin with mix_ stay."""
+    given = docs(spark, ["one two three", "four five"]).withColumns({"mix_size": F.lit(99), "mix_mine": F.lit("m"), "mix_taken": F.lit("t"), "words": F.lit(5)})
+    got = mixing.mix(given)
+    assert {(r.doc_id, r.mix_size, r.mix_mine) for r in got.collect()} == {(0, 3, "m"), (1, 2, "m")}
+    assert "mix_mine" in mixing.repeated(got).columns
+    out = mixing.mixed_documents(given)
+    assert out.columns == given.columns and {(r.mix_size, r.mix_mine, r.mix_taken) for r in out.collect()} == {(99, "m", "t")}
