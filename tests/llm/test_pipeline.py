@@ -9,7 +9,7 @@ import corpus_pipeline
 from quire.llm import token_store, toxicity
 from tests.llm.rows import empty, odd
 from tests.llm.test_simhash import slow_components, slow_fingerprint
-from tests.llm.test_tokens_and_decontamination import slow_contamination
+from tests.llm.test_tokens_and_decontamination import low_words, slow_contamination
 
 
 def kept_by_plain_python(spark, sf_dir):
@@ -21,7 +21,9 @@ def kept_by_plain_python(spark, sf_dir):
     d = d[np.array(slow_components(d.doc_id.tolist(), fps)) == d.doc_id.to_numpy()]
     b = pd.read_parquet(f"{sf_dir}/benchmark.parquet")
     bad = {r[0] for r in slow_contamination(zip(d.doc_id, d.text, strict=True), list(zip(b.item_id, b.text, strict=True))) if r[5]}
-    return d[~d.doc_id.isin(bad)]
+    windows = lambda t: {tuple(w[k : k + 13]) for w in [low_words(t)] for k in range(len(w) - 12)}
+    asked = set().union(*map(windows, b.text))
+    return d[[i not in bad and not windows(t) & asked for i, t in zip(d.doc_id, d.text, strict=True)]]
 
 
 def test_run_against_plain_python(spark, small):
