@@ -5,15 +5,17 @@ drown the rest. So text is recoded before it is compressed: a word becomes codes
 of its beginnings of STEMS letters and of the whole word. Equal words, and words
 of one stem, compress against each other; others do not.
 
-Two dictionaries of the same size are trained, one on toxic and one on ordinary text. Each holds the codes
-that are typical of its own class (log-odds of document frequency, SURE standard errors above zero), then
-the most frequent ordinary words, which both share. Windows of whole words, together the whole text, are
+Two dictionaries are trained by zstandard, one on windows of toxic and one on windows of ordinary text. A training window
+keeps the codes that are typical of its class: those of the TYPICAL units with the largest gain (documents times
+log-odds of document frequency, SURE standard errors above zero at least). On windows of all codes training fills
+dictionaries with words that both classes have, and little is told apart. The most frequent ordinary words are put
+behind both. Windows of whole words, together the whole text, are
 compressed with either; the difference of the lengths is the distance. How the distances of a document's
 windows become a score is calibrated by logistic regression on labelled documents, each measured with
 dictionaries that have not seen it.
 
-Only the fit is bounded: at most MOST_TOXIC toxic and MOST_ORDINARY ordinary labelled documents, whole,
-taken in the order of a hash of their ids. In the calibration each stands for as many labelled documents of its
+Only the fit is bounded: at most MOST_TOXIC toxic and MOST_ORDINARY ordinary labelled documents, whole and of MOST_CHARS
+characters at most, taken in the order of a hash of their ids. In the calibration each stands for as many labelled documents of its
 class as there are for each one taken, so a score is a share of the corpus whatever its size. Scores are
 computed for every whole text.
 """
@@ -42,9 +44,13 @@ CODE = 10
 STEMS = (4, 5, 7)
 MOST_TOXIC = 2_000
 MOST_ORDINARY = 3_000
-#: Codes of each class, and shared words, in a dictionary.
+MOST_CHARS = 1 << 18
+#: Units whose codes a dictionary is trained on, and shared words. With 320 units more words that are typical by chance get in.
 TYPICAL = 160
 SHARED = 24
+#: Bytes of a trained dictionary, and of the segments that training picks.
+DICTIONARY = 16 << 10
+SEGMENT = 200
 #: Words whose codes a worker remembers; when full it starts anew.
 REMEMBERED = 150_000
 FOLDS = 4
@@ -107,7 +113,7 @@ class Scorer:
         self.codes = Codes() if codes is None else codes
         self.by = []
         for content in (model.toxic, model.ordinary):
-            params = z.ZstdCompressionParameters(window_log=13, hash_log=9, chain_log=9, search_log=1, min_match=6, strategy=z.STRATEGY_DFAST, write_checksum=False, write_content_size=False, write_dict_id=False)
+            params = z.ZstdCompressionParameters(window_log=15, hash_log=12, chain_log=12, search_log=1, min_match=6, strategy=z.STRATEGY_FAST, write_checksum=False, write_content_size=False, write_dict_id=False)
             known = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
             self.by.append(z.ZstdCompressor(dict_data=known, compression_params=params).compress)
 
@@ -159,28 +165,42 @@ def _frequencies(bodies: list[bytes], often: np.ndarray) -> Counter:
     return count
 
 
-def _dictionaries(seen: list[Counter], sizes: tuple[int, int]) -> tuple[bytes, bytes]:
-    """The toxic and the ordinary dictionary from document frequencies in either class, and how many texts either has."""
+def _typical(seen: list[Counter], sizes: tuple[int, int], own: int) -> set[bytes]:
+    """The units typical of a class, from document frequencies in either class and how many texts either has."""
+    gain = {}
+    for u, n in seen[own].items():
+        rest = seen[1 - own][u] + 0.5
+        x = math.log((n + 0.5) / sizes[own]) - math.log(rest / sizes[1 - own])
+        if x >= SURE * math.sqrt(1 / (n + 0.5) + 1 / rest):
+            gain[u] = n * x
+    return set(sorted(gain, key=lambda u: (-gain[u], u))[:TYPICAL])
 
-    def typical(own: int) -> list[bytes]:
-        odds = {}
-        for u, n in seen[own].items():
-            rest = seen[1 - own][u] + 0.5
-            x = math.log((n + 0.5) / sizes[own]) - math.log(rest / sizes[1 - own])
-            if x >= SURE * math.sqrt(1 / (n + 0.5) + 1 / rest):
-                odds[u] = n * x
-        best = sorted(odds, key=lambda u: (-odds[u], u))[:TYPICAL]
-        # The codes of one word stand as they do in a text, so that they are one match.
-        return sorted(best, key=lambda u: (u[1:], u[:1]))
 
+def _trained(bodies: list[bytes], typical: set[bytes], window: int) -> bytes:
+    """A dictionary that zstandard trains on the texts' windows, of which the typical codes are kept; with too little to
+    train on, those codes themselves."""
+    import zstandard as z
+
+    known: dict[bytes, bytes] = {}
+    samples = []
+    for b in bodies:
+        words = b.split()
+        for w in set(words).difference(known):
+            known[w] = b"".join(code(u) for u in units(w) if u in typical)
+        kept = [b"".join(map(known.__getitem__, words[k : k + window])) for k in range(0, len(words), window)]
+        samples += [x for x in kept if x]
+    try:
+        return z.train_dictionary(DICTIONARY, samples, k=SEGMENT, d=8).as_bytes()
+    except z.ZstdError:
+        return b"".join(dict.fromkeys(samples))[-DICTIONARY:] or b" " * 64
+
+
+def _dictionaries(bodies: tuple[list[bytes], list[bytes]], seen: list[Counter], sizes: tuple[int, int], window: int) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary of texts of either class."""
     common = sorted((u for u in seen[1] if u[:1] == b"w"), key=lambda u: (-seen[1][u], u))[:SHARED]
     shared = b"".join(code(v) for u in common for v in units(u[1:]))
-    out = []
-    for own in (0, 1):
-        body = b"".join(map(code, typical(own)))
-        filler = b"".join(code(b"-%d" % k) for k in range(TYPICAL))
-        out.append(filler[len(body) :] + body + shared)
-    return out[0], out[1]
+    toxic, ordinary = (_trained(bodies[own], _typical(seen, sizes, own), window) + shared for own in (0, 1))
+    return toxic, ordinary
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
@@ -220,7 +240,8 @@ def fit(rows: list[tuple], window: int = WINDOW) -> Model:
     for fold in range(FOLDS):
         rest = [t - own[fold] for t, own in zip(total, parts, strict=True)]
         sizes = tuple(len(own) - len(own[fold::FOLDS]) + 1 for own in by)
-        scorer = Model(*_dictionaries(rest, sizes), [], [], [], window).open(codes)
+        others = tuple([b for k, b in enumerate(own) if k % FOLDS != fold] for own in by)
+        scorer = Model(*_dictionaries(others, rest, sizes, window), [], [], [], window).open(codes)
         for c, own in zip((1.0, 0.0), by, strict=True):
             for b in own[fold::FOLDS]:
                 x.append(scorer.features(scorer.distances(b.decode())))
@@ -228,14 +249,16 @@ def fit(rows: list[tuple], window: int = WINDOW) -> Model:
                 weight.append(stands[b, int(c)])
     x, y, weight = np.array(x), np.array(y), np.array(weight, float) / np.mean(weight)
     mean = np.average(x, axis=0, weights=weight)
-    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=weight)) + 1e-6
-    return Model(*_dictionaries(total, (len(by[0]) + 1, len(by[1]) + 1)), _logistic((x - mean) / scale, y, weight).tolist(), mean.tolist(), scale.tolist(), window)
+    # A feature that hardly varies here must not weigh much where it does.
+    scale = np.maximum(np.sqrt(np.average((x - mean) ** 2, axis=0, weights=weight)), 0.1)
+    return Model(*_dictionaries(tuple(by), total, (len(by[0]) + 1, len(by[1]) + 1), window), _logistic((x - mean) / scale, y, weight).tolist(), mean.tolist(), scale.tolist(), window)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_ordinary: int = MOST_ORDINARY) -> list[tuple[str | None, int, float]]:
     """(text, toxic, stands for): up to so many labelled rows of either class, none of them held out, in the order of a hash of their ids.
 
-    Each stands for as many labelled ids of its class, not held out, as there are for each one taken.
+    Each stands for as many labelled ids of its class, not held out, as there are for each one taken. Of rows that repeat
+    an id the least text counts; texts of more than MOST_CHARS characters are not learned from.
     """
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -246,7 +269,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOX
     every = known.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).first()
     stands = {1: every[0] / max(taken[1], 1), 0: every[1] / max(taken[0], 1)}
     of = docs.sparkSession.createDataFrame(ids, "__quire_id long, __quire_toxic int")
-    texts = docs.select("doc_id", "text").join(F.broadcast(of), F.col("doc_id") == F.col("__quire_id"))
+    short = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.length(F.coalesce("text", F.lit(""))) <= MOST_CHARS)
+    texts = short.join(F.broadcast(of), F.col("doc_id") == F.col("__quire_id")).groupBy("__quire_id", "__quire_toxic").agg(F.min("text").alias("text"))
     return [(r[0], r[1], stands[r[1]]) for r in texts.select("text", "__quire_toxic").collect()]
 
 
@@ -284,7 +308,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the documents predicted toxic; all columns stay, each row is judged by its own text."""
+    """docs without the documents predicted toxic; all columns stay, each row is judged by its own text, also if it repeats
+    another or has no doc_id. Null and empty texts have the score of no windows. An empty table gives an empty table."""
     model = fit(training_rows(docs, labels))
 
     @F.pandas_udf("double")
