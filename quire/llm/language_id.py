@@ -10,7 +10,8 @@ words is added with a weight that is learned too (labels of code-switched docume
 Training maximises the conditional likelihood of label sequences by stochastic gradients. Labels of
 documents are turned into labels of words, and sequences are built from runs of words of different
 documents, so that transitions are learned from code-switched text. Only the fit is bounded: at most
-MOST_ROWS labelled rows of each language, whole, taken in the order of a hash of their ids.
+MOST_ROWS labelled rows of each language, whole and of MOST_CHARS characters at most, taken in the order of a hash of
+their ids and texts. Every language that labels name is learned; weights and time grow with their number.
 
 Everything that is done for each byte or word is one numpy operation over a batch of documents.
 """
@@ -18,17 +19,19 @@ Everything that is done for each byte or word is one numpy operation over a batc
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import by_batch, table
 
 MOST_ROWS = 300
-MOST_LANGUAGES = 64
+MOST_CHARS = 1 << 18
 BITS = 16
 ORDERS = (2, 3, 4)
 #: Training: words in a sequence, words in a run of one document, passes, step size, ridge.
@@ -46,7 +49,16 @@ PIECE = 2 << 20
 HELD_OUT = 2
 UNKNOWN = "und"
 
-NOT_LETTER = re.compile(r"[\W\d_]+")
+
+
+def _no_letters() -> str:
+    """A character class of all but letters (Unicode category L); \\w also has numbers such as one half or Roman numerals."""
+    numbers = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()]
+    assert all(unicodedata.category(c)[0] == "N" for c in numbers)
+    return rf"[\W\d_{''.join(numbers)}]+"
+
+
+NOT_LETTER = re.compile(_no_letters())
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -262,20 +274,19 @@ def fit(rows: list[tuple[str | None, str]], seed: int = 7) -> Model:
     return model
 
 
-def training_rows(docs: DataFrame, most_rows: int = MOST_ROWS, most_languages: int = MOST_LANGUAGES) -> list[tuple[str | None, str]]:
-    """Up to most_rows rows of each of the most frequent languages, none held out, in the order of a hash of their ids."""
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).where("doc_id is not null and lang is not null").where(~held_out(F.col("doc_id")))
-    names = [r[0] for r in known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(most_languages).collect()]
-    chosen = None
-    for name in names:
-        own = known.where(F.col("lang") == name).orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(most_rows)
-        chosen = own if chosen is None else chosen.unionByName(own)
-    if chosen is None:
-        return []
-    ids = chosen.distinct().collect()  # at most most_rows * most_languages
-    of = docs.sparkSession.createDataFrame([(r.doc_id, r.lang) for r in ids], "__quire_id long, __quire_lang string")
-    texts = docs.select("doc_id", "text", "lang").join(F.broadcast(of), (F.col("doc_id") == F.col("__quire_id")) & (F.col("lang") == F.col("__quire_lang")))
-    return [(r[0], r[1]) for r in texts.select("text", "__quire_lang").collect()]
+def training_rows(docs: DataFrame, most_rows: int = MOST_ROWS) -> list[tuple[str | None, str]]:
+    """Up to most_rows rows of each language, none held out, in the order of a hash of their ids and texts; equal rows count once."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
+    rows = rows.where("doc_id is not null and lang is not null").where(~held_out(F.col("doc_id"))).where(F.length("text") <= MOST_CHARS)
+    keys = rows.select("doc_id", "lang", F.xxhash64("text").alias("of")).distinct()
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "of")
+    # At most most_rows of each language are kept before they are shuffled, and no more are collected.
+    chosen = keys.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most_rows).drop("n").collect()
+    known = docs.sparkSession.createDataFrame(chosen, "__quire_id long, __quire_lang string, __quire_of long")
+    same = (F.col("doc_id") == F.col("__quire_id")) & (F.col("lang") == F.col("__quire_lang")) & (F.xxhash64("text") == F.col("__quire_of"))
+    found = rows.join(F.broadcast(known), same).select("doc_id", "lang", "text").distinct()
+    return [(r.text, r.lang) for r in found.collect()]
 
 
 def _pieces(texts: list[str | None], most: int = PIECE):
