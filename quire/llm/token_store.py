@@ -36,6 +36,8 @@ LEVEL = 3
 #: Pieces whose ids a worker remembers in either of two generations; when the younger is full it becomes the older one,
 #: and what is met again moves back to the younger.
 REMEMBERED = 280_000
+#: Longer pieces (bytes) are not remembered, so that memory is bounded by pieces of this size.
+LONGEST = 64
 
 CHUNK_SCHEMA = "part int, chunk int, first long, n_ids long, block int, kind string, doc_ids array<long>, lens array<long>, index binary, payload binary"
 
@@ -50,11 +52,32 @@ def default_tokenizer() -> str:
 PLAIN = re.compile("^([a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017e]+)([.,;:!?$%&#*]*)$|^(.*)$", re.M)
 
 
+# How a tokenizer that encodes pieces between white space apart normalizes and splits.
+APART_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+APART_SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+APART_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def encodes_apart(path: str) -> bool:
+    """Whether the tokenizer in a file is known to give a text the ids of its pieces between white space, one after another."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    normalizer, splitter, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec["model"]
+    return (
+        normalizer.get("normalizers") == APART_NORMALIZER
+        and splitter.get("pretokenizers") == [APART_SPLIT, APART_BYTES]
+        and model.get("type") == "BPE" and bool(model.get("end_of_word_suffix")) and not model.get("dropout")
+        and not any(c.isspace() or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens") or [] for c in t["content"])
+    )
+
+
 class Encoder:
     """Texts to ids (little-endian uint32 bytes).
 
-    The tokenizer splits at white space, and between letters and signs, so every piece is encoded once and
-    remembered. New plain words are encoded many at a time, as one text: each of them is one pre-token and
+    A tokenizer for which encodes_apart doesn't hold encodes whole texts. Else it splits at white space, and between letters
+    and signs, so every piece is encoded once and remembered, unless it is over LONGEST bytes. New plain words are encoded many at a time, as one text: each of them is one pre-token and
     ends with the one id that has the end-of-word suffix, which cuts the ids up again. If the number of
     ends differs, or for any other kind of piece, pieces are encoded one by one.
     """
@@ -66,6 +89,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.apart = encodes_apart(path)
         vocabulary = self.tokenizer.get_vocab()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -89,6 +113,11 @@ class Encoder:
 
     def _learn(self, new: list[bytes]) -> None:
         known, plain = self.known, self.plain
+        long = [p for p in new if len(p) > LONGEST]
+        known.update(zip(long, self._one_by_one([p.decode() for p in long]), strict=True))
+        new = [p for p in new if len(p) <= LONGEST]
+        if not new:
+            return
         # One piece a line, so that one pass of the pattern takes all of them; plain words are lower-cased by that.
         rows = PLAIN.findall(b"\n".join(new).decode().lower())
         words = {a for a, _, _ in rows}
@@ -112,6 +141,8 @@ class Encoder:
         return wanted - back
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
+        if not self.apart:
+            return self._one_by_one([t or "" for t in texts])
         words = [(t or "").encode().split() for t in texts]
         if len(self.known) > self.remembered or len(self.plain) > self.remembered:
             self.old, self.known, self.plain = (self.known, self.plain), {}, {}
@@ -119,7 +150,11 @@ class Encoder:
         new = self._recalled(set().union(*words).difference(known), known, self.old[0])
         if new:
             self._learn(list(new))
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+        out = [b"".join(map(known.__getitem__, ws)) for ws in words]
+        for p in new:
+            if len(p) > LONGEST:
+                del known[p]
+        return out
 
 
 def to_planes(ids: np.ndarray, kind: str) -> np.ndarray:
@@ -172,8 +207,8 @@ def write_tokens(
 ) -> DataFrame:
     """The chunks of docs (doc_id, text), written to the shared folder and read back as a table of chunks.
 
-    Every row is encoded whole; null text counts as empty (the end id alone). Rows that repeat a doc_id
-    stand beside each other. An empty table gives no chunks. Other columns are not read.
+    tokenizer: the path of a tokenizers file, the same on all executors. Every row is encoded whole; null text counts as
+    empty (the end id alone). Rows that repeat a doc_id, or have none, stand beside each other, ordered by text. An empty table gives no chunks. Other columns are not read.
     """
     path = tokenizer or default_tokenizer()
     n = partitions or partitions_for(docs.select("doc_id", "text"))

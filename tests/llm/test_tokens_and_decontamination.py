@@ -166,3 +166,24 @@ def test_a_passage_in_a_long_document_is_dropped(spark):
     kept = decontaminate.without_contaminated(frame, items)
     assert kept.columns == frame.columns
     assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted((7 if d < 2 else d, texts[d] or "") for d in (1, 2, 4, 5, 6))
+
+
+def test_other_tokenizers_encode_whole_texts():
+    """Ids depend on white space there, so pieces must not be encoded apart; the default one is told from its file."""
+    import public_tokenizers
+
+    texts = ["a  b\n c", "", None, "Hello world's <|endoftext|> ½", "x" * 500 + " yes"]
+    for name, apart in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        path = public_tokenizers.path(name)
+        encode, tok = token_store.Encoder(path), Tokenizer.from_file(path)
+        assert encode.apart == token_store.encodes_apart(path) == apart
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_long_pieces_are_not_remembered():
+    encode = token_store.Encoder(token_store.default_tokenizer())
+    tok = Tokenizer.from_file(token_store.default_tokenizer())
+    texts = ["Q" * 100_000, "漢字" * 3000, "aGVsbG8+" * 900 + " short", "short " + "z" * 65, "z" * 64]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(map(len, encode.known)) <= token_store.LONGEST and max(map(len, encode.plain)) <= token_store.LONGEST
