@@ -12,7 +12,7 @@ from dataclasses import asdict, dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.text import CJK_KEEP
+from quire.functions.text import CJK_KEEP, normalize_query
 from quire.operators import context as contexts
 from quire.operators import evidence, index, packet, query, rank, retrieve
 from quire.operators.query import Alias, Rules, Work
@@ -62,7 +62,7 @@ class Corpus:
         got = retrieve.candidates(self._ranked(own, broad, beside), self.passages, self.work_table, route, scope, limits.total, limits.candidates)
         got = got.withColumn("place", F.concat("title", F.coalesce("place", F.lit(""))))
         out = rank.scored(got, plan.terms, plan.intent.mode, tuple(plan.preferred), tuple(plan.quoted), tuple(plan.focus), tuple(plan.topics), self.keep)
-        rows = [r.asDict(recursive=True) | {"channel": channel} for r in out.collect()]
+        rows = [r.asDict(recursive=True) | {"channel": channel} for r in rank.in_order(out).collect()]
         main = bool(plan.expansions and plan.terms and plan.intent.mode != "compare" and not plan.focus)
         for r in rows:
             r["matched_terms"] = [d["term"] for d in r["details"] if d["exact_body"]]
@@ -82,7 +82,7 @@ class Corpus:
 
     def _supported(self, fragment: str) -> bool:
         ids = index.top(self._ranked([fragment], False), 40)
-        body = F.regexp_replace(F.lower("text"), self.keep, "")
+        body = normalize_query(F.col("text"), self.keep)
         return not ids.join(self.passages, "id").where(F.contains(body, F.lit(fragment))).isEmpty()
 
     def plan(self, text: str, terms: str | None = None, author: str | None = None) -> tuple[Route, query.Plan]:
