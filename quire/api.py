@@ -48,7 +48,7 @@ class Corpus:
         """(id, rank); beside: terms of which one must match too."""
         if self.stored is not None:
             wanted = index.groups(self.spark, [(0, t) for t in terms] + [(1, t) for t in beside or ()], broad)
-            got = index.bm25(self.stored.hits(wanted), self.stored.totals, wanted)
+            got = index.bm25(self.stored.hits(index.grams_of([*terms, *(beside or ())])), self.stored.totals, wanted)
         else:
             got = index.scan_bm25(self.sets(), [(0, t) for t in terms] + [(1, t) for t in beside or ()], broad)
         need = 2 if beside else 1
@@ -202,20 +202,49 @@ class Evidence:
     def __init__(self, topics: DataFrame, aliases: DataFrame, records: DataFrame, bridge: DataFrame, registry: DataFrame):
         self.topics, self.aliases, self.records, self.bridge, self.registry = topics, aliases, records, bridge, registry
 
+    def classify(self, text: str) -> dict:
+        """L1 to L5 of one question."""
+        one = self._level(text).first().asDict(recursive=True)
+        return one | {"level_label_zh": evidence.LABELS[one["level"]]}
+
+    def _level(self, text: str) -> DataFrame:
+        return evidence.classify(self.topics.sparkSession.createDataFrame([(0, text)], "query_id long, text string"), self.topics, self.aliases)
+
     def assess(self, text: str, as_of: str, topics: str | None = None, include_stale: bool = False) -> dict:
-        """classify, lookup and whether to search online, for one question."""
-        spark = self.topics.sparkSession
-        level = evidence.classify(spark.createDataFrame([(0, text)], "query_id long, text string"), self.topics, self.aliases)
+        """classify, lookup and the plan of an online search, for one question."""
+        spark, level = self.topics.sparkSession, self._level(text)
         one = level.first().asDict(recursive=True)
         ids = list(dict.fromkeys(x.strip() for x in topics.split(",") if x.strip())) if topics else [x["id"] for x in one["topics"] or ()]
         wanted = spark.createDataFrame([(0, i) for i in ids], "query_id long, topic_id string")
-        day = F.lit(as_of).cast("date")
-        every = evidence.lookup(wanted, self.records, self.bridge, day, True)
-        need = evidence.needs_online(level, wanted, every, include_stale).first().asDict()
-        rows = [r.asDict(recursive=True) for r in every.collect()]
+        every = evidence.lookup(wanted, self.records, self.bridge, F.lit(as_of).cast("date"), True)
+        need = evidence.needs_online(level, wanted, every, include_stale)
+        needed = need.first().asDict()
+        rows = [r.asDict(recursive=True) for r in evidence.in_order(every).collect()]
         for r in rows:
             r["labels"] = {k: evidence.DISPLAY[r[k]] for k in ("conclusion_direction", "directness", "evidence_type", "confidence") if r.get(k) in evidence.DISPLAY}
-        return {"classification": one | {"level_label_zh": evidence.LABELS[one["level"]]}, "topic_ids": ids, "records": [r for r in rows if include_stale or r["fresh"]], "lookup": need}
+        shown = [r for r in rows if include_stale or r["fresh"]]
+        plan = {"required": False, "must_not_delay_safety_message": False, "queries": [], "instructions": evidence.NO_SEARCH}
+        if one["modern_layer_required"]:
+            covered = spark.createDataFrame([(0, t) for r in shown for t in r["topics"]], "query_id long, topic_id string")
+            queries = evidence.online_plan(evidence.planned_topics(level, self._terms(), covered, need)).orderBy("place").collect()
+            plan = {
+                "required": needed["needs_online"], "must_not_delay_safety_message": one["level"] == "M3", "queries": [{k: q[k] for k in ("language", "query", "priority")} for q in queries],
+                "preferred_source_order": evidence.SOURCE_ORDER, "instructions": evidence.INSTRUCTIONS,
+            }
+        return {"classification": one | {"level_label_zh": evidence.LABELS[one["level"]]}, "topic_ids": ids, "records": shown, "lookup": needed, "online_search_plan": plan}
+
+    def _terms(self) -> DataFrame:
+        """Topics with what they are searched by; a topic without terms or title by its id."""
+        has = set(self.topics.columns)
+        words = lambda c: F.col(c) if c in has else F.array().cast("array<string>")
+        return self.topics.select("id", (F.coalesce("title_zh", "id") if "title_zh" in has else F.col("id")).alias("title_zh"), *[words(c).alias(c) for c in ("search_terms_zh", "search_terms_en")])
+
+    def lookup(self, text: str, as_of: str, topics: str | None = None, include_stale: bool = False) -> dict:
+        got = self.assess(text, as_of, topics, include_stale)
+        return {k: got[k] for k in ("topic_ids", "records", "lookup")}
+
+    def plan(self, text: str, as_of: str, topics: str | None = None, include_stale: bool = False) -> dict:
+        return self.assess(text, as_of, topics, include_stale)["online_search_plan"]
 
     def source_check(self, url: str) -> dict:
         got = evidence.approved(self.topics.sparkSession.createDataFrame([(url,)], "url string"), self.registry).first()
@@ -225,8 +254,11 @@ class Evidence:
         return evidence.status(self.records, F.lit(as_of).cast("date")).first().asDict()
 
 
-def study(corpus: Corpus, known: Evidence, text: str, as_of: str, budget: int = packet.BUDGET, anchor_id: str | None = None, before: int = 1, after: int = 1, classics_after_safety: bool = False, topics: str | None = None, include_stale: bool = False, **options) -> dict:
-    """A packet: evidence first; in an emergency no passages unless asked for; then search or anchored context, within the budget."""
+def study(corpus: Corpus, known: Evidence, text: str, as_of: str, budget: int = packet.BUDGET, anchor_id: str | None = None, before: int = 1, after: int = 1, classics_after_safety: bool = False, topics: str | None = None, include_stale: bool = False, compact: bool = False, **options) -> dict:
+    """A packet: evidence first; in an emergency no passages unless asked for; then search or anchored context, within the budget.
+
+    compact: passages that have a quote come without their whole text.
+    """
     packet.checked_budget(budget)
     found = known.assess(text, as_of, topics, include_stale)
     urgent = found["classification"]["level"] == "M3"
@@ -262,9 +294,13 @@ def study(corpus: Corpus, known: Evidence, text: str, as_of: str, budget: int =
     if anchor_id:
         chosen.sort(key=lambda r: r["sequence"])
     shown = {r["id"] for r in [*chosen, *beside]}
+    left_out = [{"id": r["id"], "characters": len(r["text"])} for r in [*rows, *got["alternative_results"]] if r["id"] not in shown]
+    if compact:
+        chosen, beside = ([{k: v for k, v in r.items() if k != "text" or not r.get("quote")} for r in part] for part in (chosen, beside))
     return {
-        "schema_version": 2, "query": text, "evidence": found, "safety_first": urgent,
+        "schema_version": 2, "query": text, "evidence": found, "safety_first": urgent, "safety_message": found["classification"]["safety_message"] or "",
+        "classics_deferred": urgent and not classics_after_safety, "anchor_id": anchor_id or "",
         "core": [r for r in chosen if r["layer"] == "core"], "extension": [r for r in chosen if r["layer"] != "core"], "alternatives": beside,
-        "character_budget": budget, "characters_used": used + extra, "budget_omitted": [r["id"] for r in [*rows, *got["alternative_results"]] if r["id"] not in shown],
+        "character_budget": budget, "characters_used": used + extra, "budget_omitted": [x["id"] for x in left_out], "budget_omitted_sizes": left_out,
         "scope_coverage": got["scope_coverage"], "needs_clarification": got["needs_clarification"], "state_storage": "none",
     }

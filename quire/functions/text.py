@@ -238,7 +238,11 @@ DISPLAY_RULES = (
 
 def convert_script(text: Column, table: tuple[str, str] = (EVIDENCE_FROM, EVIDENCE_TO), back: bool = False) -> Column:
     """each character by a table (from, to), composed; back: the other way, where the table says it without doubt."""
-    old, new = table if not back else ("".join(b for b in table[1] if table[1].count(b) == 1), "".join(a for a, b in zip(*table, strict=True) if table[1].count(b) == 1))
+    pairs = dict(zip(*table, strict=True))
+    if back:
+        several = {b for b in pairs.values() if list(pairs.values()).count(b) > 1}
+        pairs = {b: a for a, b in pairs.items() if b not in several}
+    old, new = "".join(pairs), "".join(pairs.values())
     return F.translate(nfc(text), old, new)
 
 

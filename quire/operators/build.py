@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.text import ordered_hashes
+
 
 class GateError(ValueError):
     """A step may not run."""
@@ -62,6 +64,38 @@ def summaries(passages: DataFrame, text: str = "segment") -> tuple[DataFrame, Da
     return per, per.agg(*sums, F.max("longest").alias("longest"), F.count("*").alias("works"))
 
 
+def work_summaries(passages: DataFrame) -> DataFrame:
+    """Summaries of each work with a digest of its content hashes in order (work_id, sequence, content_sha256)."""
+    digests = ordered_hashes(passages, "work_id", ["sequence"], "content_sha256").select("work_id", F.col("digest").alias("content_digest"))
+    return summaries(passages)[0].join(digests, "work_id")
+
+
+def metadata(works: DataFrame, aliases: DataFrame, sources: DataFrame) -> dict[str, DataFrame]:
+    """H2: the tables beside the passages: works, work_targets (a row for each target of a work), aliases, sources and source_pages (a
+    row for each page of a source, numbered from 0). works: (id, ..., targets array); sources: (id, ..., pages array of structs)."""
+    return {
+        "works": works.drop("targets"),
+        "work_targets": works.select(F.col("id").alias("work_id"), F.explode("targets").alias("target_work")).distinct(),
+        "aliases": aliases.distinct(),
+        "sources": sources.drop("pages"),
+        "source_pages": sources.select(F.col("id").alias("source_id"), F.posexplode("pages").alias("page_sequence", "p")).select("source_id", "page_sequence", "p.*"),
+    }
+
+
+def citable_only(passages: DataFrame, text: str = "text") -> DataFrame:
+    """H4: passages that may be cited and searched; one that is not clean, or empty, stops the build."""
+    out = passages.where(F.col("citable") & F.col("searchable"))
+    bad = out.where((F.col("quality_status") != "clean") | (F.coalesce(F.length(text), F.lit(0)) == 0))
+    if not bad.isEmpty():
+        raise GateError(f"{bad.count()} citable passages are not clean or have no text")
+    return out
+
+
+def title_text(title: Column, author: Column, *places: Column) -> Column:
+    """H6: what the title side of the index reads: title and author, then volume, section, subsection and speaker."""
+    return F.concat(*[F.coalesce(c, F.lit("")) for c in (title, author, *places)])
+
+
 def gated(status: str, allowed: tuple[str, ...] = ("pass",)) -> None:
     """H1: refuses to go on unless the quality status allows it."""
     if status not in allowed:
@@ -85,9 +119,9 @@ def reconciled(inserted: DataFrame, expected: int, skipped: DataFrame | None = N
         raise GateError(f"inserted and skipped are {got}, expected {(expected, expected_skipped)}")
 
 
-def manifest(tables: dict[str, DataFrame], digest: Column | None = None) -> dict:
-    """H9: rows and an order-free digest of each table."""
-    out = {}
+def manifest(tables: dict[str, DataFrame], digest: Column | None = None, inputs: DataFrame | None = None) -> dict:
+    """H9: rows and an order-free digest of each table; inputs: (path, sha256) of the files they were made of."""
+    out = {"inputs": {r.path: r.sha256 for r in inputs.select("path", "sha256").collect()}} if inputs is not None else {}
     for name, df in tables.items():
         own = F.xxhash64(*[F.col(c) for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]) if digest is None else digest
         n, x = df.agg(F.count("*"), F.coalesce(F.bit_xor(own), F.lit(0))).first()

@@ -1,12 +1,15 @@
 """The inverted index as DataFrames: postings, lengths, statistics; and its use by BM25 with satisfied groups.
 
-An index is three tables: postings (id, gram, in_title, in_body), lengths (id, tokens) and the corpus totals.
-write_index() lays postings out by ranges of gram, so that a query's grams prune row groups; without a stored index,
-scan() takes the grams of the queries straight from the texts, and only those are exploded and shuffled.
+An index is three tables: postings (id, tokens, gram, in_title, in_body), lengths (id, tokens) and the corpus totals.
+write_index() lays postings out by ranges of gram; a query's grams are literals of its filter, so that the statistics of row
+groups skip what has none of them. The tables of a version are written first and named in "current" last. Without a stored
+index, the grams of the queries are taken straight from the texts.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +29,18 @@ def gram_sets(docs: DataFrame, title: Column, body: Column, keep: str = LETTER_K
 
 
 def exploded(sets: DataFrame) -> DataFrame:
-    """Postings (id, gram, in_title, in_body): one row for each side of a gram, then joined by an aggregate."""
-    sides = [sets.select("id", F.explode(f"{s}_grams").alias("gram"), F.lit(s == "title").alias("in_title"), F.lit(s == "body").alias("in_body")) for s in ("title", "body")]
-    return sides[0].unionByName(sides[1]).groupBy("id", "gram").agg(F.bool_or("in_title").alias("in_title"), F.bool_or("in_body").alias("in_body"))
+    """Postings (id, tokens, gram, in_title, in_body), without a shuffle: the grams of the body, and those that only the title has."""
+    body = F.transform("body_grams", lambda g: F.struct(g.alias("gram"), F.array_contains("title_grams", g).alias("in_title"), F.lit(True).alias("in_body")))
+    rest = F.transform(F.array_except("title_grams", "body_grams"), lambda g: F.struct(g.alias("gram"), F.lit(True).alias("in_title"), F.lit(False).alias("in_body")))
+    return sets.select("id", tokens().alias("tokens"), F.explode(F.concat(body, rest)).alias("p")).select("id", "tokens", "p.*")
+
+
+def tokens() -> Column:
+    return (F.size("title_grams") + F.size("body_grams")).cast("long")
 
 
 def lengths(sets: DataFrame) -> DataFrame:
-    return sets.select("id", (F.size("title_grams") + F.size("body_grams")).cast("long").alias("tokens"))
+    return sets.select("id", tokens().alias("tokens"))
 
 
 def totals(sets: DataFrame) -> DataFrame:
@@ -41,30 +49,32 @@ def totals(sets: DataFrame) -> DataFrame:
 
 
 def write_index(sets: DataFrame, path: str, partitions: int | None = None) -> None:
-    rows = exploded(sets)
-    n = partitions or int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows.repartitionByRange(n, "gram").sortWithinPartitions("gram", "id").write.mode("overwrite").parquet(f"{path}/postings")
-    lengths(sets).write.mode("overwrite").parquet(f"{path}/lengths")
-    totals(sets).write.mode("overwrite").parquet(f"{path}/totals")
+    """Writes a version of the index below path and then makes it the current one; a failed attempt leaves the old one current."""
+    spark, version = sets.sparkSession, uuid.uuid4().hex
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    exploded(sets).repartitionByRange(n, "gram", "id").sortWithinPartitions("gram", "id").write.parquet(f"{path}/{version}/postings")
+    lengths(sets).write.parquet(f"{path}/{version}/lengths")
+    spark.read.parquet(f"{path}/{version}/lengths").agg(F.count("*").alias("n_docs"), F.avg("tokens").alias("avg_tokens")).coalesce(1).write.parquet(f"{path}/{version}/totals")
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
 
 
 class Index:
     """A stored index."""
 
     def __init__(self, spark: SparkSession, path: str):
-        read = spark.read.parquet
-        self.postings, self.lengths, self.totals = read(f"{path}/postings"), read(f"{path}/lengths"), read(f"{path}/totals")
+        at = f"{path}/{spark.read.parquet(f'{path}/current').first().version}"
+        self.postings, self.lengths, self.totals = (spark.read.parquet(f"{at}/{t}") for t in ("postings", "lengths", "totals"))
 
-    def hits(self, grams: DataFrame) -> DataFrame:
-        wanted = grams.select("gram").distinct()
-        return self.postings.join(wanted, "gram").join(self.lengths, "id")
+    def hits(self, grams: list[str]) -> DataFrame:
+        """The postings of grams, which are few: they are those of a question."""
+        return self.postings.where(F.col("gram").isin(*grams)) if grams else self.postings.limit(0)
 
 
 def scan(sets: DataFrame, grams: list[str]) -> DataFrame:
     """(id, tokens, gram, in_title, in_body) of the wanted grams only."""
     wanted = F.array(*[F.lit(g) for g in grams]) if grams else F.array().cast("array<string>")
     found = sets.select(
-        "id", (F.size("title_grams") + F.size("body_grams")).cast("long").alias("tokens"),
+        "id", tokens().alias("tokens"),
         F.array_intersect("title_grams", wanted).alias("t"), F.array_intersect("body_grams", wanted).alias("b"),
     )
     return found.select("id", "tokens", F.explode(F.array_union("t", "b")).alias("gram"), "t", "b").select(
@@ -72,11 +82,16 @@ def scan(sets: DataFrame, grams: list[str]) -> DataFrame:
     )
 
 
+def grams_of(terms: list[str]) -> list[str]:
+    """The distinct bigrams of normalized terms."""
+    return list(dict.fromkeys(t[i : i + 2] for t in terms if t for i in range(max(1, len(t) - 1))))
+
+
 def groups(spark: SparkSession, terms: list[tuple[int, str]], broad: bool = False) -> DataFrame:
     """(query, grp, gram, need) from normalized terms (query number, term): all grams of a term, or any of them if broad."""
     rows = []
     for k, (query, term) in enumerate(terms):
-        own = list(dict.fromkeys(term[i : i + 2] for i in range(max(1, len(term) - 1)))) if term else []
+        own = grams_of([term])
         rows += [(query, k, g, 1 if broad else len(own)) for g in own]
     return spark.createDataFrame(rows, "query int, grp int, gram string, need int")
 

@@ -82,41 +82,49 @@ def semantic_pieces(text: str, speaker_type: str | None, least: int = LEAST, mos
     return out
 
 
-PIECE = "array<struct<start:int,end:int,issues:map<string,bigint>>>"
+PIECE = "array<struct<start:int,end:int,issues:map<string,bigint>,text:string>>"
 
 
 def pieces(text: Column, speaker_type: Column | None = None, least: int = LEAST, most: int = MOST) -> Column:
-    """Array of pieces of each text; null text has none."""
+    """Array of pieces of each text, with their own text; null text has none."""
     if not most > least >= 1:
         raise ValueError("most must be above least, and least 1 or more")
 
     @F.pandas_udf(PIECE)
     def cut(t: pd.Series, s: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": a, "end": b, "issues": i} for a, b, i in semantic_pieces(x, y, least, most)] if x is not None else [] for x, y in zip(t, s, strict=True)])
+        return pd.Series([[{"start": a, "end": b, "issues": i, "text": x[a:b]} for a, b, i in semantic_pieces(x, y, least, most)] if x is not None else [] for x, y in zip(t, s, strict=True)])
 
     return cut(text, F.lit("") if speaker_type is None else speaker_type)
 
 
 def segmented(blocks: DataFrame, order: list[str], text: str = "text", least: int = LEAST, most: int = MOST) -> DataFrame:
-    """Blocks (work_id, speaker_type, text, ...) to passages with sequence, id, issues and quarantine.
+    """Blocks (work_id, speaker_type, text, ...) to passages with sequence, id, content_sha256, issues and quarantine.
 
     Pieces without a letter or digit are dropped before they are numbered. sequence runs within a work.
     """
-    cut = blocks.withColumn("piece", F.explode(pieces(F.col(text), F.col("speaker_type"), least, most)))
-    # substring() counts code points, as the pieces do.
-    body = F.substring(F.col(text), F.col("piece.start") + 1, F.col("piece.end") - F.col("piece.start"))
-    cut = cut.withColumn("segment", body).where(F.col("segment").rlike(r"[\p{L}\p{N}]"))
+    cut = blocks.withColumn("piece", F.explode(pieces(F.col(text), F.col("speaker_type"), least, most))).drop(text)
+    cut = cut.withColumn("segment", F.col("piece.text")).where(F.col("segment").rlike(r"[\p{L}\p{N}]"))
     seq = F.row_number().over(Window.partitionBy("work_id").orderBy(*order, "piece.start"))
-    return quarantined(cut.withColumn("sequence", seq).withColumn("inherited", F.col("piece.issues")).drop("piece"), "segment").withColumn(
-        "passage_id", F.concat(work_prefix(F.col("work_id")), F.lit("-"), F.lpad(F.col("sequence").cast("string"), 6, "0"))
+    return quarantined(cut.withColumn("sequence", seq).withColumn("inherited", F.col("piece.issues")).drop("piece"), "segment").withColumns(
+        {"passage_id": F.concat(work_prefix(F.col("work_id")), F.lit("-"), F.lpad(F.col("sequence").cast("string"), 6, "0")), "content_sha256": content_hash(F.col("segment"))}
     )
 
 
+def content_hash(text: Column) -> Column:
+    """G10."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
 def quarantined(rows: DataFrame, text: str) -> DataFrame:
-    """A passage with issues, found or inherited, is not citable and has no search text."""
+    """A passage with issues is neither citable nor searched. A corrected one (correction_ids isn't null) has the issues that
+    are found in it; any other has those that it inherited, or else those found. text_search, if there is one, is emptied."""
     found = issue_counts(F.col(text))
-    issues = F.when(F.map_keys("inherited").isNotNull() & (F.size("inherited") > 0), F.col("inherited")).otherwise(found)
+    fixed = F.coalesce(F.size("correction_ids") > 0, F.lit(False)) if "correction_ids" in rows.columns else F.lit(False)
+    inherited = F.col("inherited") if "inherited" in rows.columns else F.lit(None).cast("map<string,bigint>")
+    issues = F.when(~fixed & F.coalesce(F.size(inherited) > 0, F.lit(False)), inherited).otherwise(found)
     out = rows.withColumn("issues", issues).withColumn("quarantined", F.size("issues") > 0)
+    if "text_search" in rows.columns:
+        out = out.withColumn("text_search", F.when(F.col("quarantined"), F.lit("")).otherwise(F.col("text_search")))
     return out.withColumn("citable", ~F.col("quarantined")).drop("inherited")
 
 
@@ -128,47 +136,60 @@ def work_prefix(work_id: Column) -> Column:
 
 
 def linked(rows: DataFrame, partition: list[str], order: list[str], id_col: str, citable: Column) -> DataFrame:
-    """Previous and next ids, of all rows and among citable ones; the latter are null on other rows."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    behind, ahead = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    """Previous and next ids, of all rows and among citable ones; the latter are null on other rows.
+
+    Both citable links look back, one in falling order, so that each frame grows by a row at a time.
+    """
     own = F.when(citable, F.col(id_col))
+    w = Window.partitionBy(*partition).orderBy(*order, id_col)
+    back = Window.partitionBy(*partition).orderBy(*[F.col(c).desc_nulls_last() for c in (*order, id_col)])
+    seen = lambda x: F.last(own, ignorenulls=True).over(x.rowsBetween(Window.unboundedPreceding, -1))
     return rows.withColumns(
-        {
-            "previous_id": F.lag(id_col).over(w),
-            "next_id": F.lead(id_col).over(w),
-            "previous_citable_id": F.when(citable, F.last(own, ignorenulls=True).over(behind)),
-            "next_citable_id": F.when(citable, F.first(own, ignorenulls=True).over(ahead)),
-        }
+        {"previous_id": F.lag(id_col).over(w), "next_id": F.lead(id_col).over(w), "previous_citable_id": F.when(citable, seen(w)), "next_citable_id": F.when(citable, seen(back))}
     )
 
 
-def corrected(passages: DataFrame, corrections: DataFrame) -> DataFrame:
-    """Literal corrections (passage_id, source_id, correction_id, before, after, expected) applied in order of their id.
+def corrected(passages: DataFrame, corrections: DataFrame, fields: tuple[str, ...] = ("text",)) -> DataFrame:
+    """Literal corrections (passage_id, source_id, correction_id, before, after, expected[, field]) applied in order of their id.
 
-    Adds correction_ids and correction_error; the latter is null or says why a correction did not apply (its source
-    differs, or before does not stand as often as expected). A passage with an error keeps its text.
+    fields: the columns that may be corrected; corrections without a field are of the first. Adds correction_ids and
+    correction_error; the latter is null or says why a correction did not apply (its source differs, or before does not stand
+    as often as expected). A passage with an error keeps its text; applied() refuses to go on with one.
     """
-    lists = corrections.groupBy("passage_id").agg(F.array_sort(F.collect_list(F.struct("correction_id", "source_id", "before", "after", "expected"))).alias("fixes"))
-    times = lambda text, part: ((F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)).cast("int")
-    start = F.struct(F.col("text"), F.lit(None).cast("string").alias("error"))
+    of = F.coalesce("field", F.lit(fields[0])) if "field" in corrections.columns else F.lit(fields[0])
+    fix = F.struct("correction_id", "source_id", of.alias("field"), "before", "after", "expected")
+    lists = corrections.groupBy("passage_id").agg(F.array_sort(F.collect_list(fix)).alias("fixes"))
+    times = lambda text, part: F.coalesce(((F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)).cast("int"), F.lit(0))
+    start = F.struct(*[F.col(f) for f in fields], F.lit(None).cast("string").alias("error"))
 
     def step(acc: Column, fix: Column) -> Column:
+        now = F.coalesce(*[F.when(fix["field"] == f, acc[f]) for f in fields])
+        n = times(now, fix["before"])
         error = (
             F.when(acc["error"].isNotNull(), acc["error"])
+            .when(~fix["field"].isin(*fields), F.concat(fix["correction_id"], F.lit(": no such field")))
             .when(fix["source_id"] != F.col("source_id"), F.concat(fix["correction_id"], F.lit(": other source")))
-            .when(times(acc["text"], fix["before"]) != fix["expected"], F.concat(fix["correction_id"], F.lit(": found "), times(acc["text"], fix["before"]).cast("string"), F.lit(" times")))
+            .when(n != fix["expected"], F.concat(fix["correction_id"], F.lit(": found "), n.cast("string"), F.lit(" times")))
         )
-        return F.struct(F.when(error.isNull(), F.replace(acc["text"], fix["before"], fix["after"])).otherwise(acc["text"]).alias("text"), error.alias("error"))
-
-    joined = passages.join(lists, "passage_id", "left")
-    done = joined.withColumn("done", F.when(F.col("fixes").isNotNull(), F.aggregate("fixes", start, step)))
-    return done.withColumns(
-        {
-            "text": F.when(F.col("done.error").isNull(), F.coalesce("done.text", "text")).otherwise(F.col("text")),
-            "correction_ids": F.when(F.col("done.error").isNull(), F.transform("fixes", lambda x: x["correction_id"])),
-            "correction_error": F.col("done.error"),
-        }
-    ).drop("fixes", "done")
+        change = lambda f: F.when(error.isNull() & (fix["field"] == f), F.replace(acc[f], fix["before"], fix["after"])).otherwise(acc[f]).alias(f)
+        return F.struct(*[change(f) for f in fields], error.alias("error"))
+
+    done = passages.join(lists, "passage_id", "left").withColumn("done", F.when(F.col("fixes").isNotNull(), F.aggregate("fixes", start, step)))
+    well = F.col("done.error").isNull()
+    new = {f: F.when(well & F.col("fixes").isNotNull(), F.col(f"done.{f}")).otherwise(F.col(f)) for f in fields}
+    return done.withColumns(new | {"correction_ids": F.when(well, F.transform("fixes", lambda x: x["correction_id"])), "correction_error": F.col("done.error")}).drop("fixes", "done")
+
+
+def applied(passages: DataFrame, corrections: DataFrame, fields: tuple[str, ...] = ("text",)) -> DataFrame:
+    """G7 as a gate: corrected passages; a correction that fails, or has no passage, stops the build with its name."""
+    from quire.operators.build import GateError
+
+    out = corrected(passages, corrections, fields)
+    failed = [r[0] for r in out.where("correction_error is not null").select("correction_error").limit(10).collect()]
+    lost = [r[0] for r in unapplied(passages, corrections).select("correction_id").limit(10).collect()]
+    if failed or lost:
+        raise GateError("; ".join([*failed, *(f"{x}: no such passage" for x in lost)]))
+    return out
 
 
 def unapplied(passages: DataFrame, corrections: DataFrame) -> DataFrame:

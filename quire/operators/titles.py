@@ -28,32 +28,49 @@ def discover(queries: DataFrame, titles: DataFrame, most: int = 10) -> DataFrame
     return top.withColumn("status", F.when(F.col("score") >= 90, "match").when(F.col("score") >= 70, "candidate").otherwise("none"))
 
 
-def resolved(aliases: DataFrame, wanted: DataFrame, most: int = 20) -> DataFrame:
+def resolved(aliases: DataFrame, wanted: DataFrame, most: int = 1000) -> DataFrame:
     """(name, target): redirects (name, to) followed to their end; a cycle ends at the name before it closes.
 
-    One join for each step, most of them; ends early when nothing moves.
+    One join for each step. Names that have come to rest are set aside, and what still moves is checkpointed if the session has a
+    checkpoint folder, so that steps don't run their predecessors again. A chain of over most steps is an error.
     """
-    now = wanted.select("name", F.col("name").alias("target"), F.array("name").alias("_seen"))
+    spark = wanted.sparkSession
     step = aliases.select(F.col("name").alias("_n"), F.col("to").alias("_to"))
-    for _ in range(most):
-        now = now.join(step, F.col("target") == F.col("_n"), "left")
+    moving = wanted.select("name", F.col("name").alias("target"), F.array("name").alias("_seen")).distinct()
+    done: list[DataFrame] = []
+    for k in range(most + 1):
+        next_ = moving.join(step, F.col("target") == F.col("_n"), "left")
         go = F.col("_to").isNotNull() & ~F.array_contains("_seen", F.col("_to"))
-        now = now.select("name", F.when(go, F.col("_to")).otherwise(F.col("target")).alias("target"), F.when(go, F.array_append("_seen", F.col("_to"))).otherwise(F.col("_seen")).alias("_seen"), go.alias("_moved"))
-        if now.where("_moved").isEmpty():
+        next_ = next_.withColumn("_go", go).persist()
+        done.append(next_.where("not _go").select("name", "target"))
+        moving = next_.where("_go").select("name", F.col("_to").alias("target"), F.array_append("_seen", F.col("_to")).alias("_seen"))
+        if not spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+            moving = moving.checkpoint()
+        if moving.isEmpty():
             break
-        now = now.drop("_moved")
-    return now.select("name", "target")
+        if k == most:
+            raise ValueError(f"a chain of redirects has over {most} steps")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.join(wanted.select("name"), "name")
 
 
 def in_reading_order(pages: DataFrame, title: str = "title") -> DataFrame:
-    """A8 and B5."""
-    return pages.dropDuplicates([title]).orderBy(page_key(F.col(title)))
+    """Listed pages, each once though continuations of a listing repeat some, in reading order."""
+    return pages.groupBy(title).agg(*[F.min(c).alias(c) for c in pages.columns if c != title]).orderBy(page_key(F.col(title)), title)
 
 
 def batched(rows: DataFrame, order: str, size: int, partition: str | None = None) -> DataFrame:
-    """A10: rows numbered in batches of size within partition."""
-    w = Window.partitionBy(partition).orderBy(order) if partition else Window.orderBy(order)
-    return rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size))
+    """A10: rows numbered in batches of size within partition; without one, in order over all rows, numbered part by part
+    and moved on by the rows of earlier parts (one row for each part is added up)."""
+    if partition:
+        return rows.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(partition).orderBy(order)) - 1) / size))
+    parts = rows.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id()).persist()
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_c"))
+    before = counts.select("_part", F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
+    return parts.withColumn("_own", own).join(F.broadcast(before), "_part").withColumn("batch", F.floor((F.col("_before") + F.col("_own")) / size)).drop("_part", "_own", "_before")
 
 
 def interleaved(parents: DataFrame, children: DataFrame) -> DataFrame:

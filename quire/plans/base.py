@@ -22,11 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+class Tables:
+    """Reads the tables of a folder by name."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __call__(self, name: str) -> DataFrame:
+        return table(self.spark, self.sf_dir, name)
+
+
 def query(sql: str | None = None):
     """Registers a function (spark, t) -> DataFrame by its name; t(name) reads a table. sql: the same for DuckDB."""
 
     def register(fn):
-        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(spark, lambda name: table(spark, sf_dir, name))
+        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(spark, Tables(spark, sf_dir))
         if sql:
             ORACLES[fn.__name__] = sql
         return fn

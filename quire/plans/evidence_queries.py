@@ -79,7 +79,7 @@ def domain_allow_list(spark, t):
     return evidence.approved(t("pages").select("page_id", "url"), registry).select("page_id", "source_id")
 
 
-@query("""WITH r AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders) SELECT count(*)::BIGINT AS records, count(*) FILTER (o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1995-06-17')::BIGINT AS fresh, count(*) FILTER (o_orderdate < TIMESTAMP '1995-06-17')::BIGINT AS stale FROM r""")
+@query("""WITH r AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders) SELECT count(*)::BIGINT AS records, count(*) FILTER (o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1995-06-17')::BIGINT AS fresh, count(*) FILTER (o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1995-06-17')::BIGINT AS stale FROM r""")
 def conditional_status_counts(spark, t):
     """L10."""
     records = t("orders").select(F.when(F.col("o_orderstatus") == "F", "verified").otherwise("draft").alias("status"), F.col("o_orderdate").alias("expires_at"))
@@ -120,7 +120,8 @@ def evidence_violations(spark, t):
     records = t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("source_id"), F.lit(1).alias("expires_at"), F.lit(0).alias("verified_at"))
     bridge = t("lineitem").select(F.col("l_orderkey").alias("record_id"), F.lit("t").alias("topic_id"), F.when(F.col("l_discount") > 0.08, 2.0).otherwise(F.col("l_discount")).alias("relevance"))
     registry = t("customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("id"))
-    return evidence.violations(records, bridge, registry, spark.createDataFrame([("t",)], "id string"))
+    found = evidence.violations(records, bridge, registry, spark.createDataFrame([("t",)], "id string"))
+    return found.where("check <> 'duplicate-link'")  # each line is a link here; evidence_audit has them
 
 
 @query("""WITH p AS (SELECT n_nationkey::BIGINT AS query_id, (row_number() OVER (PARTITION BY n_nationkey ORDER BY s_suppkey) - 1)::INT AS place, 'M' || (1 + s_suppkey % 3) AS level, s_name AS z, upper(s_name) AS e FROM supplier JOIN nation ON s_nationkey = n_nationkey),
@@ -138,12 +139,55 @@ def online_plan(spark, t):
     return evidence.online_plan(topics).select("query_id", F.col("place").cast("long").alias("place"), "language", "query")
 
 
-@query("""SELECT s.source, s.n::BIGINT AS n, s.chars::BIGINT AS chars, coalesce(l.good, 0)::BIGINT AS good, CASE WHEN coalesce(l.good, 0) * 2 >= coalesce(l.labelled, 0) AND coalesce(l.labelled, 0) > 0 THEN 'final' ELSE 'candidate-blocked' END AS status
-FROM (SELECT source, count(*) AS n, sum(length(text)) AS chars FROM documents GROUP BY source) s LEFT JOIN (SELECT source, count(*) AS labelled, count(*) FILTER (quality = 1) AS good FROM documents JOIN labels USING (doc_id) GROUP BY source) l USING (source)""")
+@query("""SELECT s.source, s.n::BIGINT AS n, s.chars::BIGINT AS chars, CASE WHEN coalesce(l.good, 0) = 0 THEN 'no good document' ELSE '' END AS reasons, CASE WHEN coalesce(l.good, 0) > 0 AND s.n >= 20 THEN 'final' ELSE 'candidate-blocked' END AS lock_status
+FROM (SELECT source, count(*) AS n, sum(length(text)) AS chars FROM documents GROUP BY source) s LEFT JOIN (SELECT source, count(*) FILTER (quality = 1) AS good FROM documents JOIN labels USING (doc_id) GROUP BY source) l USING (source)""")
 def source_lock(spark, t):
-    """M7: inventory joined to quality, with a status for each source."""
-    d = t("documents")
-    inventory = d.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.length("text")).cast("long").alias("chars"))
-    good = d.select("doc_id", "source").join(t("labels"), "doc_id").groupBy("source").agg(F.count("*").alias("labelled"), F.count_if(F.col("quality") == 1).alias("good"))
-    out = inventory.join(good, "source", "left").na.fill(0, ["labelled", "good"])
-    return out.select("source", "n", "chars", "good", F.when((F.col("good") * 2 >= F.col("labelled")) & (F.col("labelled") > 0), "final").otherwise("candidate-blocked").alias("status"))
+    """M7: sources with what speaks against them, whether they are complete, and how much of them was processed."""
+    d = t("documents").withColumn("source_id", F.col("source"))
+    inventory = d.groupBy("source_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).cast("long").alias("chars"))
+    good = d.join(t("labels").where("quality = 1").select("doc_id"), "doc_id").groupBy("source_id").agg(F.count("*").alias("passages"))
+    reasons = inventory.join(good, "source_id", "left_anti").select("source_id", F.array(F.lit("no good document")).alias("reasons"))
+    out = quality.source_lock(inventory, reasons, inventory.select("source_id", F.when(F.col("n") >= 20, "pass").otherwise("fail").alias("status")), good)
+    return out.select(F.col("source_id").alias("source"), "n", "chars", F.array_join("reasons", ",").alias("reasons"), "lock_status")
+
+
+_LEVEL_SQL = "CASE WHEN contains(t, 'urgent') OR contains(t, 'error') THEN 'M3' WHEN contains(t, 'data') THEN 'M2' ELSE 'M0' END"
+
+
+@query(f"""WITH q AS (SELECT conv_id * 1000 + turn AS query_id, lower(text) AS t FROM conversations), l AS (SELECT query_id, t, {_LEVEL_SQL} AS level FROM q)
+SELECT query_id, CASE WHEN level = 'M3' THEN CASE WHEN contains(t, 'urgent') THEN md5('{evidence.SAFETY[True]}') ELSE md5('{evidence.SAFETY[False]}') END END AS message FROM l""")
+def safety_messages(spark, t):
+    """L4 of every turn."""
+    q = _queries(t).withColumn("t", F.lower("text"))
+    topics = F.array_compact(F.array(F.when(F.contains("t", F.lit("urgent")), evidence.SELF_HARM), F.when(F.contains("t", F.lit("error")), "other")))
+    level = F.when(F.size(topics) > 0, "M3").when(F.contains("t", F.lit("data")), "M2").otherwise("M0")
+    return q.select("query_id", F.md5(evidence.safety_message(topics, level)).alias("message"))
+
+
+@query("""WITH q AS (SELECT n_nationkey AS query_id, 'M' || (n_nationkey % 4) AS level FROM nation), p AS (SELECT query_id, level, unnest(['a', 'b', 'c']) AS topic, unnest([0, 1, 2]) AS place FROM q WHERE level <> 'M0'),
+k AS (SELECT * FROM p WHERE NOT (topic = 'b' AND query_id % 2 = 0)), s AS (SELECT query_id, level, place, CASE topic WHEN 'c' THEN 'title c' ELSE 'zh ' || topic END AS z, CASE topic WHEN 'c' THEN 'title c' ELSE 'en ' || topic END AS e FROM k),
+u AS (SELECT query_id, place * 2 AS n, z || CASE level WHEN 'M3' THEN ' site:nhc.gov.cn OR site:gov.cn' WHEN 'M2' THEN ' 指南 药监' ELSE '' END AS query FROM s UNION ALL SELECT query_id, place * 2 + 1, e || CASE level WHEN 'M3' THEN ' site:who.int OR site:cdc.gov OR site:nhs.uk' WHEN 'M2' THEN ' guideline systematic review' ELSE '' END FROM s),
+f AS (SELECT query_id, query, min(n) AS n FROM u GROUP BY ALL) SELECT query_id::BIGINT AS query_id, query, row_number() OVER (PARTITION BY query_id ORDER BY n)::BIGINT AS place FROM f""")
+def planned_searches(spark, t):
+    """L8 at the question's level, without topics that fresh records cover where no search is needed."""
+    topic = lambda x: F.struct(F.lit(x).alias("id"))
+    q = t("nation").select(F.col("n_nationkey").cast("long").alias("query_id"), F.concat(F.lit("M"), (F.col("n_nationkey") % 4).cast("string")).alias("level"), F.array(*map(topic, "abc")).alias("topics"))
+    known = spark.createDataFrame([("a", "title a", ["zh a"], ["en a"]), ("b", "title b", ["zh b"], ["en b"]), ("c", "title c", [], [])], "id string, title_zh string, search_terms_zh array<string>, search_terms_en array<string>")
+    asked = q.withColumn("modern_layer_required", F.col("level") != "M0")
+    rows = evidence.planned_topics(asked, known, q.select("query_id", F.lit("b").alias("topic_id")), q.select("query_id", (F.col("query_id") % 2 == 1).alias("needs_online")))
+    return evidence.online_plan(rows).select("query_id", "query", F.col("place").cast("long").alias("place"))
+
+
+@query("""WITH r AS (SELECT o_orderkey AS id, o_custkey AS source_id, o_orderstatus AS org, CASE WHEN o_orderkey % 3 = 0 THEN 'https://x.test/' ELSE 'https://a.example.com/' END AS url FROM orders), s AS (SELECT c_custkey AS source_id, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'O' END AS organization FROM customer),
+a AS (SELECT o_orderkey AS id, o_orderkey % 5 = 0 AS wrong FROM orders WHERE o_orderkey % 7 <> 0)
+SELECT 'organization-mismatch' AS "check", id::VARCHAR AS id FROM r JOIN s USING (source_id) WHERE org <> organization UNION ALL SELECT 'domain-not-approved', id::VARCHAR FROM r JOIN s USING (source_id) WHERE url LIKE '%x.test%'
+UNION ALL SELECT 'not-audited', id::VARCHAR FROM r WHERE id NOT IN (SELECT id FROM a) UNION ALL SELECT 'audit-mismatch', id::VARCHAR FROM a WHERE wrong UNION ALL SELECT 'duplicate-link', l_orderkey::VARCHAR FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1""")
+def evidence_audit(spark, t):
+    """L11's rules on organizations, domains, audits and links."""
+    id_ = F.col("o_orderkey")
+    records = t("orders").select(id_.alias("id"), F.col("o_custkey").alias("source_id"), F.col("o_orderstatus").alias("source_organization"), F.when(id_ % 3 == 0, "https://x.test/").otherwise("https://a.example.com/").alias("url"), F.lit("h").alias("source_content_sha256"), F.lit(1).alias("expires_at"), F.lit(0).alias("verified_at"))
+    registry = t("customer").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("O").alias("organization"), F.array(F.lit("example.com")).alias("domains"))
+    bridge = t("lineitem").select(F.col("l_orderkey").alias("record_id"), F.lit("t").alias("topic_id"), F.lit(0.5).alias("relevance"))
+    audit = records.where("id % 7 <> 0").select(F.col("id").alias("record_id"), "url", F.when(F.col("id") % 5 == 0, "x").otherwise("h").alias("sha256"), "source_id", F.lit(200).alias("http_status"))
+    found = evidence.violations(records, bridge, registry, spark.createDataFrame([("t",)], "id string"), None, audit)
+    return found.where(F.col("check").isin("organization-mismatch", "domain-not-approved", "not-audited", "audit-mismatch", "duplicate-link"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
-from quire.operators import context, index, packet, rank, retrieve, segment
+from quire.operators import context, index, packet, quality, rank, retrieve, segment
 from quire.plans.base import NORM, gram_set_sql, query
+from quire.sources import shared
 
 TERMS = ["thereon", "quality", "aller", "cióndo"]
 TITLE = "(lang || ' ' || source)"
@@ -52,6 +55,52 @@ def bm25_broad(spark, t):
     return _ranked(spark, t, True).select(F.col("id").alias("doc_id"), F.round("rank", 6).alias("rank"))
 
 
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def stored_index(spark, t) -> index.Index:
+    """The index of a folder's documents; built once in an application and then only read."""
+    key = (spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _INDEXES:
+        path = f"{shared.application_dir(spark)}/index-{uuid.uuid4().hex[:12]}"
+        index.write_index(_sets(t), path)
+        _INDEXES[key] = path
+    return index.Index(spark, _INDEXES[key])
+
+
+def _asked(spark, t, broad: bool):
+    stored = stored_index(spark, t)
+    return index.bm25(stored.hits(index.grams_of(TERMS)), stored.totals, index.groups(spark, [(0, x) for x in TERMS], broad))
+
+
+@query(_bm25_sql(False, 50))
+def stored_index_topk(spark, t):
+    """The same question to the stored index, which is asked for its grams alone."""
+    out = _asked(spark, t, False).select(F.col("id").alias("doc_id"), F.round("rank", 6).alias("rank"))
+    return out.orderBy("rank", "doc_id").limit(50)
+
+
+@query(_bm25_sql(True, None))
+def stored_index_broad(spark, t):
+    """J1 over the stored index with any gram of a term, all matches."""
+    return _asked(spark, t, True).select(F.col("id").alias("doc_id"), F.round("rank", 6).alias("rank"))
+
+
+_SETS_SQL = f"s AS MATERIALIZED (SELECT doc_id AS id, {gram_set_sql('t')} AS tg, {gram_set_sql('b')} AS bg FROM (SELECT doc_id, {NORM(TITLE)} AS t, {NORM('text')} AS b FROM documents))"
+
+
+@query(f"WITH {_SETS_SQL}, p AS (SELECT id, unnest(list_distinct(list_concat(tg, bg))) AS gram FROM s) SELECT gram, count(*)::BIGINT AS df FROM p GROUP BY gram")
+def stored_postings(spark, t):
+    """H7: document frequencies as the stored index has them."""
+    return stored_index(spark, t).postings.groupBy("gram").agg(F.count("*").alias("df"))
+
+
+@query(f"WITH {_SETS_SQL} SELECT count(*)::BIGINT AS n_docs, round(avg(len(tg) + len(bg)), 6)::DOUBLE AS avg_tokens FROM s")
+def index_totals(spark, t):
+    """H7: the totals of the stored index."""
+    return stored_index(spark, t).totals.select("n_docs", F.round("avg_tokens", 6).alias("avg_tokens"))
+
+
 @query("""SELECT doc_id, lang, source FROM documents WHERE lang IN ('en', 'de') AND source IN ('src0', 'src1', 'src2') AND source NOT IN ('src2') AND contains(source, 'src')""")
 def scope_filters(spark, t):
     """One predicate of canon, layer, work, exclusion and author rules."""
@@ -66,10 +115,10 @@ def semi_join_exists(spark, t):
     return t("customer").join(t("orders").where("o_orderstatus in ('F')"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey", "c_mktsegment")
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R')")
+@query("SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity >= 45)")
 def anti_exclude(spark, t):
-    """J6."""
-    return t("part").join(t("lineitem").where("l_returnflag = 'R'"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey", "p_name")
+    """Parts of which no large line was returned."""
+    return t("part").join(t("lineitem").where("l_returnflag = 'R' and l_quantity >= 45"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey", "p_name")
 
 
 @query("""SELECT l_orderkey, l_linenumber, n_name, r_name, round(l_extendedprice * (1 - l_discount), 4)::DOUBLE AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -123,10 +172,11 @@ def rescored(spark, t):
 @query(f"""WITH s AS (SELECT doc_id, source, {gram_set_sql(NORM('text'))} AS g FROM documents), p AS (SELECT doc_id, g, lag(doc_id) OVER w AS before, lag(g) OVER w AS h FROM s WINDOW w AS (PARTITION BY source ORDER BY doc_id))
 SELECT doc_id, before, CASE WHEN len(g) = 0 OR len(h) = 0 THEN 0.0 ELSE round(len(list_intersect(g, h)) / (len(g) + len(h) - len(list_intersect(g, h))), 6) END::DOUBLE AS jaccard FROM p WHERE before IS NOT NULL""")
 def jaccard_neighbours(spark, t):
-    """K1 of each document with the one before it in its source."""
-    w = Window.partitionBy("source").orderBy("doc_id")
-    s = t("documents").select("doc_id", "source", X.bigram_set(X.normalize_query(F.col("text"), X.LETTER_KEEP)).alias("g"))
-    p = s.select("doc_id", "g", F.lag("doc_id").over(w).alias("before"), F.lag("g").over(w).alias("h")).where("before is not null")
+    """K1 of each document with the one before it in its source. The window orders ids alone; the gram sets meet by a join."""
+    d = t("documents")
+    pairs = d.select("doc_id", F.lag("doc_id").over(Window.partitionBy("source").orderBy("doc_id")).alias("before")).where("before is not null")
+    s = d.select("doc_id", X.bigram_set(X.normalize_query(F.col("text"), X.LETTER_KEEP)).alias("g"))
+    p = pairs.join(s, "doc_id").join(s.select(F.col("doc_id").alias("before"), F.col("g").alias("h")), "before")
     return p.select("doc_id", "before", F.round(X.jaccard(F.col("g"), F.col("h")), 6).alias("jaccard"))
 
 
@@ -137,12 +187,12 @@ def per_group_topk_caps(spark, t):
     return rank.capped(rows, ["c_mktsegment"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], 4).select("c_mktsegment", "o_orderkey", F.col("place").cast("long").alias("place"))
 
 
-@query("""WITH n AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations), a AS (SELECT conv_id, turn AS anchor, k AS ak FROM n WHERE turn % 3 = 0)
+@query("""WITH n AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations), a AS (SELECT conv_id, turn AS anchor, k AS ak FROM n)
 SELECT n.conv_id, anchor, turn, CASE WHEN k < ak THEN 'before' WHEN k = ak THEN 'anchor' ELSE 'after' END AS context_role, md5(text) AS digest FROM n JOIN a ON n.conv_id = a.conv_id AND k BETWEEN ak - 2 AND ak + 1""")
 def context_window(spark, t):
-    """Two turns before and one after each anchor."""
+    """Two turns before and one after every turn."""
     c = t("conversations")
-    out = context.context(c, c.where("turn % 3 = 0"), "conv_id", "turn", 2, 1)
+    out = context.context(c, c, "conv_id", "turn", 2, 1)
     return out.select("conv_id", "anchor", "turn", "context_role", F.md5("text").alias("digest"))
 
 
@@ -204,3 +254,22 @@ def packets(spark, t):
     out = packet.packets(rows, 2500)
     join = lambda c: F.array_join(c, ",").alias(c)
     return out.select("query", join("core"), join("extension"), join("alternatives"), "used", "left_out", "clarification")
+
+
+@query(f"""WITH x AS ({_BEST_SQL}), d AS (SELECT doc_id, lang, length({NORM('text')}) AS clean FROM documents)
+SELECT coalesce(bool_or(tier IN ('A', 'B') AND clean >= 8), false) AS has_direct, coalesce(bool_or(tier IN ('A', 'B', 'C') AND clean >= 8 AND exact_body), false) AS has_exact,
+coalesce(bool_or(tier IN ('A', 'B', 'C') AND clean >= 8 AND exact_body AND lang = 'en'), false) AS has_exact_core FROM x JOIN d USING (doc_id)""")
+def sufficiency(spark, t):
+    """K8: what the candidates suffice for."""
+    rows = t("documents").select("doc_id", F.col("doc_id").alias("id"), F.lit("").alias("work_id"), F.lit(0).alias("sequence"), F.when(F.col("lang") == "en", "core").otherwise("commentary").alias("layer"), F.concat_ws(" ", "lang", "source").alias("place"), "text", F.lit(0.0).alias("rank"), F.lit("core_text").alias("speaker_type"))
+    return rank.direct(rank.scored(rows, TERMS)).select("has_direct", "has_exact", "has_exact_core")
+
+
+@query("""WITH r AS (SELECT o_orderkey AS query_id, l_linenumber AS id, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS place FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+e AS (SELECT DISTINCT l_orderkey AS query_id, l_linenumber AS id FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01') SELECT count(DISTINCT query_id)::BIGINT AS n, count(DISTINCT query_id) FILTER (query_id IN (SELECT query_id FROM r JOIN e USING (query_id, id) WHERE place <= 3))::BIGINT AS found,
+round(count(DISTINCT query_id) FILTER (query_id IN (SELECT query_id FROM r JOIN e USING (query_id, id) WHERE place <= 3)) / count(DISTINCT query_id), 6)::DOUBLE AS recall FROM e""")
+def recall_at_three(spark, t):
+    """For orders with late lines, whether one of them is among the order's three dearest."""
+    lines = t("lineitem").select(F.col("l_orderkey").alias("query_id"), F.col("l_linenumber").alias("id"), "l_extendedprice", "l_shipdate")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("l_extendedprice").desc(), "id"))
+    return quality.recall_at(lines.where("l_shipdate >= timestamp '1997-01-01'").select("query_id", "id").distinct(), lines.withColumn("place", place), 3)

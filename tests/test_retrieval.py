@@ -54,7 +54,7 @@ def test_stored_index_gives_the_same(spark, tmp_path):
     s, terms = sets(spark), ["治未病"]
     index.write_index(s, str(tmp_path / "i"), 2)
     stored, wanted = index.Index(spark, str(tmp_path / "i")), index.groups(spark, [(0, t) for t in terms])
-    got = {r.id: round(r["rank"], 9) for r in index.bm25(stored.hits(wanted), stored.totals, wanted).collect()}
+    got = {r.id: round(r["rank"], 9) for r in index.bm25(stored.hits(index.grams_of(terms)), stored.totals, wanted).collect()}
     assert got == {d: round(x, 9) for d, x in slow_bm25(terms).items()}
 
 
@@ -150,8 +150,15 @@ def test_packets_keep_the_budget(spark):
         packet.checked_budget(499)
 
 
-def test_rendering_escapes():
-    item = {"title": "<b>", "author": "a&b", "place": "", "quote": "x\ny", "url": 'https://u/"'}
-    page = packet.markup("<t>", [item])
-    assert "<b>" not in page and "&lt;b&gt;" in page and "a&amp;b" in page
-    assert "> x\n> y" in packet.markdown("t", [item])
+def test_rendering_of_packets():
+    item = {"id": "<b>", "title": "<b>", "author": "a&b", "place": "", "quote": "x\ny", "url": 'https://u/"', "speaker_type": "quoted_core", "context_role": "before"}
+    plan = {"required": True, "queries": []}
+    level = lambda x: {"classification": {"level": x}, "records": [], "online_search_plan": plan}
+    one = {"query": "<q>", "evidence": level("M0"), "safety_first": False, "safety_message": "", "core": [item], "extension": [], "alternatives": [], "needs_clarification": {"required": False, "reason": "", "lacking": []}}
+    page, text = packet.markup(one), packet.markdown(one)
+    assert "<b>" not in page and "&lt;b&gt;" in page and "a&amp;b" in page and "<q>" not in page
+    assert "> x\n> y" in text and packet.QUOTED_CORE in text and packet.ROLES["before"] in text and "现代医学" not in text
+    urgent = one | {"core": [], "evidence": level("M3"), "safety_first": True, "safety_message": "call now", "classics_deferred": True}
+    assert packet.markdown(urgent).index("call now") < packet.markdown(urgent).index(packet.DEFERRED) and packet.SEARCH_ONLINE in packet.rendered(urgent, "html")
+    lost = one | {"core": [], "needs_clarification": {"required": True, "reason": "incomplete-comparison", "lacking": ["甲"]}}
+    assert "甲" in packet.markdown(lost) and packet.NOTHING not in packet.markdown(lost) and packet.NOTHING in packet.markdown(one | {"core": []})

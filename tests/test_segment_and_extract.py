@@ -1,8 +1,10 @@
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import extract, segment
+from quire.operators import build, extract, segment
 
 
 def test_bounded_cuts():
@@ -47,24 +49,98 @@ def test_corrections(spark):
     assert got["p1"].text == "韩祗和 祗" and got["p1"].correction_ids == ["c1"] and got["p1"].correction_error is None
     assert got["p2"].text == "x" and "other source" in got["p2"].correction_error and "found 2" in got["p3"].correction_error
     assert [r.correction_id for r in segment.unapplied(p, c).collect()] == ["c4"]
+    with pytest.raises(build.GateError, match="c4: no such passage"):
+        segment.applied(p, c)
+    two = p.withColumn("volume", F.lit("old"))
+    fix = spark.createDataFrame([("p1", "s", "c1", "old", "new", 1, "volume"), ("p1", "s", "c2", "HT", "X", 2, "text"), ("p2", "s", "c3", "x", "y", 1, "bad")], "passage_id string, source_id string, correction_id string, before string, after string, expected int, field string")
+    got = {r.passage_id: r for r in segment.corrected(two, fix, ("text", "volume")).collect()}
+    assert (got["p1"].text, got["p1"].volume, got["p1"].correction_ids) == ("韩X 和 X ", "new", ["c1", "c2"]) and "no such field" in got["p2"].correction_error and got["p3"].text == "aa"
+    done = segment.quarantined(segment.corrected(two, fix.where("passage_id = 'p1'"), ("text", "volume")).withColumns({"inherited": F.create_map(F.lit("k"), F.lit(1).cast("long")), "text_search": F.lit("t")}), "text")
+    assert {r.passage_id: (r.quarantined, r.text_search) for r in done.collect()} == {"p1": (False, "t"), "p2": (True, ""), "p3": (True, "")}
+
+
+def test_links_of_a_large_work_are_linear(spark):
+    """Hardly a citable row in one work: each frame grows by a row at a time."""
+    rows = spark.range(60_000).select(F.lit("w").alias("work"), F.col("id"))
+    got = segment.linked(rows, ["work"], ["id"], "id", F.col("id").isin(10, 59_990)).where("previous_citable_id is not null or next_citable_id is not null").collect()
+    assert sorted((r.id, r.previous_citable_id, r.next_citable_id) for r in got) == [(10, None, 59_990), (59_990, 10, None)]
+
+
+def slow_cuts(text, least, most):
+    """G1, by trying every place."""
+    out, start = [], 0
+    while len(text) - start > most:
+        best = None
+        for marks in (segment.FULL_STOPS, segment.PAUSES):
+            ends = [k + 1 for k in range(start, start + most) if text[k] in marks]
+            if ends:
+                at = ends[-1]
+                at += at < start + most and at < len(text) and text[at] in segment.CLOSERS
+                if at >= start + least:
+                    best = at
+                    break
+        start = best or start + most
+        out.append(start)
+    return out + ([len(text)] if start < len(text) or not out else [])
+
+
+def test_cuts_of_random_texts():
+    rng = random.Random(7)
+    for _ in range(400):
+        text = "".join(rng.choice("甲乙丙。，！”」、") for _ in range(rng.randrange(0, 120)))
+        least, most = sorted(rng.sample(range(1, 30), 2))
+        assert segment.bounded_cuts(text, least, most) == slow_cuts(text, least, most), (text, least, most)
 
 
 def test_templates_expand_from_the_inside():
-    g = extract.Glyphs({"12": "㾮"}, [("s", "AB", "甲")])
-    text, seen = extract.expanded("{{header|t=1}}AB{{SKchar|12}}{{SKchar|9}}{{?}}{{yl|x|{{pua|y}}}}{{foo|a|k=v|b}}{{雙行註文|新校正云z}}{{*|n}}", "s", g)
+    g = extract.Glyphs({"12": "㾮", ("skchar2", "12"): "乙"}, [("s", "AB", "甲")])
+    text, seen = extract.expanded("{{header|t=1}}AB{{SKchar|12}}{{SKchar2|12}}{{SKchar|9}}{{?}}{{yl|x|{{pua|y}}}}{{foo|a|k=v|b}}{{雙行註文|新校正云z}}{{*|n}}{{**|base|m}}{{sk note|o}}{{", "s", g, "王某（清）")
     plain = re.sub("⟦[^⟧]*⟧", "", text)
-    assert plain == "甲㾮〔未识别字9〕〔原文缺字〕xyab新校正云zn" and seen["structural"] == 1 and seen["unknown"] == 1
-    assert "⟦N:新校正⟧" in text
+    assert plain == "甲㾮乙〔未识别字9〕〔原文缺字〕xyab新校正云znbasemo{{" and seen["structural"] == 1 and seen["unknown"] == 1
+    assert seen["unresolved:skchar"] == 1 and seen["residual"] == 1
+    assert "⟦N:新校正:textual_collation⟧" in text and "base⟦N:校注:textual_collation⟧m" in text and "⟦N:王某:commentary⟧o" in text
+
+
+def test_lines():
+    kind = extract.line_kind
+    assert [kind(x) for x in ("== 卷一 ==", "<篇名>名", "<目录>目", "::;方", "上古天真論篇第一", "第三千篇", "属性：引", "作者：某", "按：文", "文", "")] == [
+        ("2", "卷一"), ("3", "名"), ("2", "目"), ("4", "方"), ("3", "上古天真論篇第一"), ("3", "第三千篇"), ("quote", "引"), ("metadata", ""), ("commentary", ""), ("text", "文"), ("blank", ""),
+    ]
+    assert kind("篇第一以后又有很多字") == ("text", "篇第一以后又有很多字") and kind("字" * 40 + "篇第一")[0] == "text"
+    marked = extract.lines_marked("属性：引文\n续\n按：注\n书名：无\n尾", "s")
+    assert marked.split("\n") == ["⟦Q⟧", "引文", "续", "⟦/Q⟧", "按：注", "尾"]
+    assert extract.lines_marked("文（注）", "commentary-suwen-zhangzhicong", "张志聪（清）") == "文⟦N:张志聪:commentary⟧（注）⟦/N⟧"
+
+
+PAGES = "source_id string, page_no int, raw string, title string, layer string, author string"
 
 
 def test_blocks_carry_headings_across_pages(spark):
-    pages = [("s", 1, "== 卷一 ==\n=== 篇一 ===\n前言。黃帝問曰：何也。岐伯曰：善。\n\n{{*|注文}}"), ("s", 2, "续文\n\n==== 小 ====\n文\n\n== 卷二 ==\n文二\n属性：引文\n\n后")]
-    got = extract.blocks(spark.createDataFrame(pages, "source_id string, page_no int, raw string")).orderBy("page_no", "token_no", "text").collect()
+    pages = [("s", 1, "== 卷一 ==\n=== 篇一 ===\n前言。黃帝問曰：何也。岐伯曰：善。\n\n{{*|注文}}", "书", "core", "某"), ("s", 2, "续文\n\n==== 小 ====\n文\n\n== 卷二 ==\n文二\n属性：引文\n\n后\n\n== 無 ==\n文三", "书", "core", "某"), ("s", 3, "文四", "书/卷三", "core", "某")]
+    got = extract.blocks(spark.createDataFrame(pages, PAGES)).orderBy("page_no", "token_no", "piece_no").collect()
     by = {r.text: r for r in got}
-    assert by["黃帝問曰：何也。"].speaker == "黄帝" and by["岐伯曰：善。"].speaker == "岐伯" and by["前言。"].speaker is None
+    assert by["黃帝問曰：何也。"].speaker == "黄帝" and by["岐伯曰：善。"].speaker == "岐伯" and by["前言。"].speaker == "原典"
+    assert [by[t].speaker_type for t in ("前言。", "岐伯曰：善。", "注文", "引文")] == ["core_text", "dialogue", "textual_collation", "mixed"]
     assert by["注文"].kind == "note" and (by["注文"].volume, by["注文"].section) == ("卷一", "篇一")
     assert (by["续文"].volume, by["续文"].section) == ("卷一", "篇一") and by["文"].subsection == "小"
     assert (by["文二"].volume, by["文二"].section, by["文二"].subsection) == ("卷二", "", "") and by["引文"].kind == "quote" and by["后"].kind == "text"
+    assert (by["文三"].volume, by["文三"].section) == ("卷二", "無") and (by["文四"].volume, by["文四"].section) == ("卷三", "無")
+
+
+def test_speakers_of_works(spark):
+    rows = [
+        ("commentary-jingui-xubin", 1, "本文註曰釋\n論曰說", "t", "commentary", "徐彬（清）"), ("commentary-x", 1, "文", "t", "commentary", "甲（清）"), ("lineage-x", 1, "文", "t", "lineage", "乙"),
+        ("commentary-suwen-wangbing", 1, "文{{雙行註文|注}}", "t", "commentary", "王冰"), ("commentary-nanjing-jizhu", 1, "属性：引\n\n=== 序 ===\n属性：序文", "t", "commentary", "丙"),
+    ]
+    got = {(r.source_id, r.text): (r.speaker, r.speaker_type) for r in extract.blocks(spark.createDataFrame(rows, PAGES)).collect()}
+    x = "commentary-jingui-xubin"
+    assert got == {
+        (x, "本文"): ("张仲景原文", "quoted_core"), (x, "註曰釋"): ("徐彬", "commentary"), (x, "論曰說"): ("徐彬", "commentary"), ("commentary-x", "文"): ("甲", "commentary"), ("lineage-x", "文"): ("乙", "lineage"),
+        ("commentary-suwen-wangbing", "文"): ("经文", "quoted_core"), ("commentary-suwen-wangbing", "注"): ("王冰", "commentary"),
+        ("commentary-nanjing-jizhu", "引"): ("所引原文", "quoted_core"), ("commentary-nanjing-jizhu", "序文"): ("丙", "preface"),
+    }
+    stats = {r.source_id: r for r in extract.source_statistics(extract.blocks(spark.createDataFrame(rows, PAGES))).collect()}
+    assert stats[x].speaker_types == {"commentary": 2, "quoted_core": 1} and stats[x].blocks == 3 and stats[x].speakers == {"张仲景原文": 1, "徐彬": 2}
 
 
 def test_transclusions_and_glyph_table(spark):
