@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 import sys
-import unicodedata
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,14 +51,10 @@ UNKNOWN = "und"
 
 
 
-def _no_letters() -> str:
-    """A character class of all but letters (Unicode category L); \\w also has numbers such as one half or Roman numerals."""
-    numbers = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()]
-    assert all(unicodedata.category(c)[0] == "N" for c in numbers)
-    return rf"[\W\d_{''.join(numbers)}]+"
-
-
-NOT_LETTER = re.compile(_no_letters())
+NOT_LETTER = re.compile(r"[\W\d_]+")
+#: What else \w has beside letters (Unicode category L): numbers such as one half or Roman numerals, by their code points.
+NUMBERS = {ord(c): " " for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()}
+NUMBER_SIGNS = frozenset(map(chr, NUMBERS))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,7 +65,10 @@ def held_out(doc_id: Column) -> Column:
 
 def letters(text: str | None) -> bytes:
     """The text's words: runs of letters, lower case, in UTF-8, with one space between."""
-    return NOT_LETTER.sub(" ", (text or "").lower()).strip().encode()
+    body = (text or "").lower()
+    if not body.isascii() and not NUMBER_SIGNS.isdisjoint(body):
+        body = body.translate(NUMBERS)
+    return NOT_LETTER.sub(" ", body).strip().encode()
 
 
 @dataclass
@@ -279,10 +278,22 @@ def training_rows(docs: DataFrame, most_rows: int = MOST_ROWS) -> list[tuple[str
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
     rows = rows.where("doc_id is not null and lang is not null").where(~held_out(F.col("doc_id"))).where(F.length("text") <= MOST_CHARS)
-    keys = rows.select("doc_id", "lang", F.xxhash64("text").alias("of")).distinct()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "of")
-    # At most most_rows of each language are kept before they are shuffled, and no more are collected.
-    chosen = keys.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most_rows).drop("n").collect()
+    keys = rows.select("lang", F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(5)), 1).alias("draw"), "doc_id", F.xxhash64("text").alias("of"))
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
+
+    def least(of: DataFrame) -> list:
+        order = Window.partitionBy("lang").orderBy("draw", "doc_id", "of")
+        return of.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= most_rows).select("doc_id", "lang", "of").collect()
+
+    # Draws under a bound that some three times most_rows rows meet, so that a language of most rows isn't ordered in one task;
+    # languages in which they were too few, as when rows repeat ids, are ordered as they are.
+    bounds = [(y, min(1.0, 3 * (most_rows + 50) / n) * float(1 << 63)) for y, n in counts.items()]
+    bounded = docs.sparkSession.createDataFrame(bounds, "lang string, bound double") if bounds else None
+    chosen = least(keys.join(F.broadcast(bounded), "lang").where("draw <= bound").drop("bound")) if bounds else []
+    got = Counter(r.lang for r in chosen)
+    scarce = [y for y, bound in bounds if got[y] < most_rows and bound < 1 << 63]
+    if scarce:
+        chosen = [r for r in chosen if r.lang not in scarce] + least(keys.where(F.col("lang").isin(scarce)))
     known = docs.sparkSession.createDataFrame(chosen, "__quire_id long, __quire_lang string, __quire_of long")
     same = (F.col("doc_id") == F.col("__quire_id")) & (F.col("lang") == F.col("__quire_lang")) & (F.xxhash64("text") == F.col("__quire_of"))
     found = rows.join(F.broadcast(known), same).select("doc_id", "lang", "text").distinct()

@@ -243,3 +243,12 @@ def test_shares_by_plain_python(spark):
     for text in ["the und", "Où été, avec le", "x", "½ der 7 THE", "that with la"]:
         assert np.allclose(model.shares([text])[0], slow_label(model, text), atol=1e-4), text
     assert slow_label(model, "½") is None and not model.shares(["½"]).any()
+
+
+def test_training_rows_are_the_least_draws(spark):
+    """Of a large language the rows with the least hashes, whatever the partitions; of one whose rows share an id all texts count."""
+    rows = [row(i, f"text {i}", "aa") for i in range(5000)] + [row(6, f"other {i}", "bb") for i in range(3000)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = [sorted(language_id.training_rows(frame.repartition(n), most_rows=20)) for n in (2, 7)]
+    assert got[0] == got[1] and [y for _, y in got[0]].count("aa") == 20 == [y for _, y in got[0]].count("bb")
+    assert not any(is_held_out(int(t.split()[1])) for t, y in got[0] if y == "aa")
