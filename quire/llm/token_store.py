@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import gc
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ CHUNK_IDS = 1 << 18
 LEVEL = 3
 #: Pieces whose ids a worker remembers in either of two generations; when the younger is full it becomes the older one,
 #: and what is met again moves back to the younger.
-REMEMBERED = 280_000
+REMEMBERED = 400_000
 #: Longer pieces (bytes) are not remembered, so that memory is bounded by pieces of this size.
 LONGEST = 64
 
@@ -49,7 +51,17 @@ def default_tokenizer() -> str:
 
 
 #: What is surely one pre-token, or one and a run of signs: letters without combining marks, then signs other than the apostrophe.
+SIGNS = b".,;:!?$%&#*"
 PLAIN = re.compile("^([a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017e]+)([.,;:!?$%&#*]*)$|^(.*)$", re.M)
+#: The characters that stand for bytes in a byte-level vocabulary: printable Latin-1 for itself, the others from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LEVEL = {b: (b if b in _PRINTED else 256 + sum(x not in _PRINTED for x in range(b))) for b in range(256)}
+
+
+def _little(ids: array) -> array:
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids
 
 
 # How a tokenizer that encodes pieces between white space apart normalizes and splits.
@@ -77,9 +89,8 @@ class Encoder:
     """Texts to ids (little-endian uint32 bytes).
 
     A tokenizer for which encodes_apart doesn't hold encodes whole texts. Else it splits at white space, and between letters
-    and signs, so every piece is encoded once and remembered, unless it is over LONGEST bytes. New plain words are encoded many at a time, as one text: each of them is one pre-token and
-    ends with the one id that has the end-of-word suffix, which cuts the ids up again. If the number of
-    ends differs, or for any other kind of piece, pieces are encoded one by one.
+    and signs, so every piece is encoded once and remembered, unless it is over LONGEST bytes. New plain words, and signs, are
+    one pre-token each and go to the tokenizer's model as such; any other kind of piece is encoded like a text.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -90,46 +101,44 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.apart = encodes_apart(path)
-        vocabulary = self.tokenizer.get_vocab()
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        if suffix:
-            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
-        self.plain: dict[str, bytes] = {}
+        self.plain: dict[bytes, bytes] = {}
         self.old: tuple[dict, dict] = {}, {}
         self.remembered = remembered
 
     def _one_by_one(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _plain(self, words: list[str]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(words) or ends[-1] != len(ids):
-            return self._one_by_one(words)
-        raw, cuts = ids.tobytes(), (ends * 4).tolist()
-        return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+    def _plain(self, word: bytes) -> bytes:
+        shown = word.decode() if word.isascii() else word.decode("latin-1").translate(BYTE_LEVEL)
+        return _little(array("I", [t.id for t in self.model.tokenize(shown)])).tobytes()
 
     def _learn(self, new: list[bytes]) -> None:
         known, plain = self.known, self.plain
-        long = [p for p in new if len(p) > LONGEST]
-        known.update(zip(long, self._one_by_one([p.decode() for p in long]), strict=True))
-        new = [p for p in new if len(p) <= LONGEST]
-        if not new:
-            return
-        # One piece a line, so that one pass of the pattern takes all of them; plain words are lower-cased by that.
-        rows = PLAIN.findall(b"\n".join(new).decode().lower())
-        words = {a for a, _, _ in rows}
-        words.update({b for _, b, _ in rows})
-        words.discard("")
-        fresh = list(self._recalled(words.difference(plain), plain, self.old[1]))
-        plain[""] = b""
-        for at in range(0, len(fresh), 2048):
-            part = fresh[at : at + 2048]
-            plain.update(zip(part, self._plain(part), strict=True))
-        known.update(zip(new, [plain[a] + plain[b] for a, b, _ in rows], strict=True))
-        other = [piece for piece, row in zip(new, rows, strict=True) if row[2]]
+        parts: list[tuple[bytes, bytes, bytes]] = []
+        other, rest = [], []
+        for p in new:
+            letters = p.rstrip(SIGNS)
+            if len(p) > LONGEST:
+                other.append(p)
+            elif letters.isalpha():  # letters of ASCII
+                parts.append((p, letters.lower(), p[len(letters) :]))
+            else:
+                rest.append(p)
+        if rest:  # one piece a line, so that one pass of the pattern takes all of them; plain words are lower-cased by that
+            for p, (a, b, whole) in zip(rest, PLAIN.findall(b"\n".join(rest).decode().lower()), strict=True):
+                if whole:
+                    other.append(p)
+                else:
+                    parts.append((p, a.encode(), b.encode()))
+        words = {a for _, a, _ in parts}
+        words.update([b for _, _, b in parts])
+        words.discard(b"")
+        plain[b""] = b""
+        for w in self._recalled(words.difference(plain), plain, self.old[1]):
+            plain[w] = self._plain(w)
+        known.update([(p, plain[a] + plain[b]) for p, a, b in parts])
         if other:
             known.update(zip(other, self._one_by_one([p.decode() for p in other]), strict=True))
 
@@ -232,8 +241,8 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                piece = batch.slice(at, 1024)
                 for doc_id, ids in zip(piece.column(0).to_pylist(), encode(piece.column(1).to_pylist()), strict=True):
                     held.append((doc_id, ids + tail))
                     size += len(ids + tail) // 4
