@@ -273,3 +273,38 @@ def recall_at_three(spark, t):
     lines = t("lineitem").select(F.col("l_orderkey").alias("query_id"), F.col("l_linenumber").alias("id"), "l_extendedprice", "l_shipdate")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("l_extendedprice").desc(), "id"))
     return quality.recall_at(lines.where("l_shipdate >= timestamp '1997-01-01'").select("query_id", "id").distinct(), lines.withColumn("place", place), 3)
+
+
+_SCORED_SQL = f"""x AS ({_BEST_SQL.replace('SELECT doc_id, term, eb AS exact_body', 'SELECT doc_id, length(term) AS lt, eb AS exact_body')}), d AS (SELECT doc_id, source, length(text) AS n, length({NORM('text')}) AS clean FROM documents),
+sc AS (SELECT doc_id, source, round(CASE tier WHEN 'A' THEN 80 WHEN 'B' THEN 46 WHEN 'C' THEN 22 ELSE 0 END + coverage * 18 + CASE WHEN exact_body THEN least(lt, 16) ELSE 0 END + 3.5
+ + CASE WHEN n BETWEEN 30 AND 360 THEN 4 WHEN n < 10 THEN -18 WHEN n < 20 THEN -7 WHEN n > 520 THEN -3 ELSE 0 END - CASE WHEN clean < 8 THEN 100 ELSE 0 END, 4)::DOUBLE AS score FROM x JOIN d USING (doc_id))"""
+
+
+@query(f"WITH {_SCORED_SQL} SELECT doc_id, source, score FROM sc ORDER BY score DESC, source, doc_id LIMIT 50")
+def score_order(spark, t):
+    """K7: the best fifty by score, then work and sequence."""
+    rows = t("documents").select("doc_id", F.col("source").alias("work_id"), F.col("doc_id").alias("sequence"), F.lit("core").alias("layer"), F.concat_ws(" ", "lang", "source").alias("place"), "text", F.lit(0.0).alias("rank"), F.col("doc_id").alias("id"))
+    out = rank.scored(rows, TERMS)
+    rounded = out.withColumn("score", F.round(F.col("score") - F.col("best.coverage") * 18 + F.round("best.coverage", 6) * 18, 4))
+    return rank.in_order(rounded).limit(50).select("doc_id", F.col("work_id").alias("source"), "score")
+
+
+@query("""WITH w AS (SELECT c_custkey AS id, CASE c_nationkey % 3 WHEN 0 THEN 'core' ELSE 'commentary' END AS layer, c_mktsegment AS canon, 't' || (c_nationkey % 5) AS target FROM customer), r AS (SELECT o_orderkey AS id, o_custkey AS work_id, -o_totalprice AS rank FROM orders)
+SELECT r.id, work_id, rank FROM r JOIN w ON work_id = w.id WHERE layer = 'core' AND canon IN ('BUILDING', 'MACHINERY') AND target IN ('t1', 't2') ORDER BY rank, r.id LIMIT 80""")
+def scoped_candidates(spark, t):
+    """The scope filters before the candidate limit."""
+    n = F.col("c_nationkey")
+    works = t("customer").select(F.col("c_custkey").alias("id"), F.when(n % 3 == 0, "core").otherwise("commentary").alias("layer"), F.col("c_mktsegment").alias("canon"), F.col("c_name").alias("author"), F.array(F.concat(F.lit("t"), (n % 5).cast("string"))).alias("targets"))
+    ranked = t("orders").select(F.col("o_orderkey").alias("id"), (-F.col("o_totalprice")).alias("rank"))
+    passages = t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("work_id"))
+    route = retrieve.Route(canons=("BUILDING", "MACHINERY"), target_works=("t1", "t2"))
+    return retrieve.candidates(ranked, passages, works, route, retrieve.Scope(layers=("core",)), 4, 40).select("id", "work_id", "rank")
+
+
+@query("""WITH w AS (SELECT c_custkey AS id, c_nationkey % 5 AS k, c_mktsegment AS canon FROM customer) SELECT 'strict' AS mode, id FROM w WHERE k = 1 AND canon = 'BUILDING' AND id <> 5 UNION ALL SELECT 'relaxed', id FROM w WHERE id <> 5""")
+def relaxed_scope(spark, t):
+    """A relaxed route has no scope, but what is excluded stays so."""
+    works = t("customer").select(F.col("c_custkey").alias("id"), F.lit("core").alias("layer"), F.col("c_mktsegment").alias("canon"), F.lit("").alias("author"), F.array((F.col("c_nationkey") % 5).cast("string")).alias("targets"))
+    route = retrieve.Route(canons=("BUILDING",), target_works=("1",), excluded_work_ids=(5,))
+    under = lambda r, mode: works.where(retrieve.work_filter(r, retrieve.Scope())).select(F.lit(mode).alias("mode"), "id")
+    return under(route, "strict").unionByName(under(route.relaxed(), "relaxed"))

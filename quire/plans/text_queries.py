@@ -504,3 +504,86 @@ def proofread_levels(spark, t):
     """The proofreading level of a page, and its title."""
     raw = F.concat(F.lit('<pagequality level="'), (F.col("page_id") % 5).cast("string"), F.lit('" user="" />'), "html")
     return t("pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)", 1).alias("title"), X.proofread_level(raw).alias("level"))
+
+
+@query("""SELECT p_partkey, p_name || chr(10) || 'label ' || p_brand || ' plain item' || chr(10) || 'a & b ' || p_size || ' x' AS shown FROM part""")
+def wiki_stripped(spark, t):
+    """The text of markup."""
+    raw = F.concat(
+        F.lit("<!-- no -->'\'\'"), "p_name", F.lit("'\'\'<ref name=a>no</ref>\n* [[File:x.png|no]]label "), "p_brand", F.lit(" [[plain]] [http://u item]\n| cell\n<noinclude>no</noinclude>a &amp; b -{zh:"),
+        F.col("p_size").cast("string"), F.lit("-} <small>x</small>"),
+    )
+    return t("part").select("p_partkey", X.strip_wiki(raw).alias("shown"))
+
+
+@query("""SELECT p_partkey, regexp_replace(trim(p_name), ' +', ' ', 'g') || ' ' || p_brand || '甲乙丙，' || p_size AS shown FROM part""")
+def plain_cleaned(spark, t):
+    """Gaps of plain text."""
+    raw = F.concat(F.lit("  "), F.replace("p_name", F.lit(" "), F.lit(" \u3000 ")), F.lit("\t"), "p_brand", F.lit(" \n 甲 乙\u3000丙 ，\n"), F.col("p_size").cast("string"), F.lit(" "))
+    return t("part").select("p_partkey", X.clean_plain(raw).alias("shown"))
+
+
+@query("""WITH p AS (SELECT 'r' || n_regionkey AS source_id, n_nationkey AS page_no, n_nationkey AS n, lag(n_nationkey) OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS before FROM nation),
+b AS (SELECT *, CASE WHEN before IS NULL THEN '' ELSE '卷' || before END AS old, CASE WHEN before IS NULL THEN '' ELSE '篇' || before END AS older FROM p)
+SELECT source_id, page_no, '前' || n AS text, old AS volume, older AS section, CASE WHEN before IS NULL THEN '' ELSE '方' || before END AS subsection, '原典' AS speaker, 'core_text' AS speaker_type FROM b UNION ALL SELECT source_id, page_no, '正' || n || '。', '卷' || n, '', '', '原典', 'core_text' FROM b UNION ALL
+SELECT source_id, page_no, '黃帝問曰：甲' || n || '。', '卷' || n, '', '', '黄帝', 'dialogue' FROM b UNION ALL SELECT source_id, page_no, '岐伯曰：㾮' || n, '卷' || n, '', '', '岐伯', 'dialogue' FROM b UNION ALL SELECT source_id, page_no, '注' || n, '卷' || n, '', '', '校注', 'textual_collation' FROM b UNION ALL
+SELECT source_id, page_no, '引' || n, '卷' || n, '篇' || n, '', '原文与注文混排', 'mixed' FROM b UNION ALL SELECT source_id, page_no, '按：' || n, '卷' || n, '篇' || n, '', '原典', 'core_text' FROM b UNION ALL SELECT source_id, page_no, '方文' || n || '〔原文缺字〕', '卷' || n, '篇' || n, '方' || n, '原典', 'core_text' FROM b""")
+def wiki_sections(spark, t):
+    """Markup to blocks; a heading holds until the next, also on later pages of its source."""
+    n = F.col("n_nationkey").cast("string")
+    parts = ["前", n, "\n\n== 卷", n, " ==\n{{header|x=1}}正", n, "。黃帝問曰：甲", n, "。岐伯曰：{{SKchar|12}}", n, "\n\n{{*|注", n, "}}\n\n=== 篇", n, " ===\n作者：無\n属性：引", n, "\n按：", n, "\n:;方", n, "\n方文", n, "{{?}}"]
+    pages = t("nation").select(F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("source_id"), F.col("n_nationkey").cast("int").alias("page_no"), F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts]).alias("raw"), F.lit("core").alias("layer"))
+    out = extract.blocks(pages, extract.Glyphs({"12": "㾮"}))
+    return out.select("source_id", "page_no", "text", "volume", "section", "subsection", "speaker", "speaker_type")
+
+
+@query("""WITH p AS (SELECT p_partkey, p_size * 90 AS n FROM part), c AS (SELECT p_partkey, n, unnest(range(0, CASE WHEN n <= 700 THEN 1 ELSE 1 + ceil((n - 700) / 630)::INT END)) AS k FROM p)
+SELECT p_partkey, k::BIGINT AS place, (k * 630)::BIGINT AS start, CASE WHEN n - k * 630 <= 700 THEN n ELSE (k + 1) * 630 END::BIGINT AS "end" FROM c""")
+def bounded_pieces(spark, t):
+    """Texts of sentences of 90 characters, cut after the last that fits in 700."""
+    text = F.repeat(F.concat(F.repeat(F.lit("x"), F.lit(89)), F.lit("。")), F.col("p_size"))
+    cut = t("part").select("p_partkey", F.posexplode(segment.pieces(text)).alias("place", "p"))
+    return cut.select("p_partkey", F.col("place").cast("long").alias("place"), F.col("p.start").cast("long").alias("start"), F.col("p.end").cast("long").alias("end"))
+
+
+@query("""WITH p AS (SELECT p_partkey, p_partkey % 4 AS a, p_partkey % 3 AS b FROM part), s AS (SELECT p_partkey, a, b, a * 3 AS x, a * 3 + 5 AS y, a * 3 + 5 + b * 3 AS z FROM p)
+SELECT p_partkey, 0::BIGINT AS start, x::BIGINT AS "end", 0::BIGINT AS issues FROM s WHERE a > 0 UNION ALL SELECT p_partkey, x::BIGINT, y::BIGINT, 1::BIGINT FROM s UNION ALL SELECT p_partkey, y::BIGINT, z::BIGINT, 0::BIGINT FROM s WHERE b > 0""")
+def semantic_pieces(spark, t):
+    """The sentence with an issue stays apart, clean ones beside each other together."""
+    k = F.col("p_partkey")
+    text = F.concat(F.repeat(F.lit("甲乙。"), (k % 4).cast("int")), F.lit("丙HT丁。"), F.repeat(F.lit("戊己。"), (k % 3).cast("int")))
+    cut = t("part").select("p_partkey", F.explode(segment.pieces(text, F.lit("core_text"))).alias("p"))
+    total = F.aggregate(F.map_values("p.issues"), F.lit(0).cast("long"), lambda a, x: a + x)
+    return cut.select("p_partkey", F.col("p.start").cast("long").alias("start"), F.col("p.end").cast("long").alias("end"), total.alias("issues"))
+
+
+@query("""SELECT 'X-' || upper(lang) || '-' || lpad((row_number() OVER (PARTITION BY lang ORDER BY doc_id))::VARCHAR, 6, '0') AS passage_id, doc_id, (doc_id % 7 = 0) AS quarantined, sha256(CASE WHEN doc_id % 7 = 0 THEN '甲HT' || doc_id ELSE '乙' || doc_id END) AS content_sha256 FROM documents WHERE doc_id % 11 <> 0""")
+def numbered_passages(spark, t):
+    """Ids by work, pieces without letters dropped before they are numbered, quarantine, content hashes."""
+    k = F.col("doc_id")
+    text = F.when(k % 11 == 0, "……。").when(k % 7 == 0, F.concat(F.lit("甲HT"), k.cast("string"))).otherwise(F.concat(F.lit("乙"), k.cast("string")))
+    blocks = t("documents").select(F.concat(F.lit("x-"), "lang").alias("work_id"), F.lit("core_text").alias("speaker_type"), "doc_id", text.alias("text"))
+    return segment.segmented(blocks, ["doc_id"]).select("passage_id", "doc_id", "quarantined", "content_sha256")
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 100000")
+def table_round_trip(spark, t):
+    """A table written in one commit, sorted by a key, and read through a filter on it."""
+    path = f"{shared.application_dir(spark)}/table-{uuid.uuid4().hex[:12]}"
+    readers.write_table(t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), path, by=["o_orderstatus"], sort=["o_totalprice"])
+    return spark.read.parquet(path).where("o_totalprice > 100000").select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+@query("SELECT p_name AS title, row_number() OVER (ORDER BY p_name)::BIGINT AS place FROM (SELECT DISTINCT '书/卷' || lpad(p_size::VARCHAR, 2, '0') AS p_name FROM part)")
+def listed_pages(spark, t):
+    """Pages that a listing names more than once, each once and in reading order."""
+    leaf = F.concat(F.lit("书/卷"), F.lpad(F.col("p_size").cast("string"), 2, "0"))
+    got = titles.in_reading_order(t("part").select(leaf.alias("title"), "p_brand"))
+    return got.select("title", F.row_number().over(Window.orderBy(X.page_key(F.col("title")), "title")).cast("long").alias("place"))  # a row for each title
+
+
+@query("""SELECT o_orderkey, (o_orderdate < TIMESTAMP '1996-01-01' AND o_totalprice < 150000) AS broken_date, o_orderstatus NOT IN ('F', 'O') AS broken_status FROM orders WHERE (o_orderdate < TIMESTAMP '1996-01-01' AND o_totalprice < 150000) OR o_orderstatus NOT IN ('F', 'O')""")
+def value_rules(spark, t):
+    """Rules of values: rows that break one, with the names of those that they break."""
+    bad = readers.required(t("orders"), {"date": (F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp")) | (F.col("o_totalprice") >= 150000), "status": F.col("o_orderstatus").isin("F", "O")})
+    return bad.select("o_orderkey", F.array_contains("broken", "date").alias("broken_date"), F.array_contains("broken", "status").alias("broken_status"))
