@@ -14,7 +14,9 @@ bytes (leftmost on ties), which depends on the string alone. So
 4. a start has a match of LENGTH bytes if its longest common prefix with a neighbour in suffix order is as
    long. For longest-previous-factor semantics (keep="first") the nearest smaller positions before and
    after it in suffix order are asked for: one of them matches LENGTH bytes exactly if the least
-   position of the run of suffixes that share LENGTH bytes is smaller than its own.
+   position of the run of suffixes that share LENGTH bytes is smaller than its own;
+5. an anchor with more than HOT distinct blocks, such as one in a passage that a third of all documents quote, is no group for one
+   task. Its starts are told by 128-bit hashes of their LENGTH bytes instead, counted with map-side aggregation.
 
 Beside that it is told which documents share a passage of over PASSAGE words, as such a passage may be shorter than
 LENGTH bytes. Each run of PASSAGE + 1 words has an anchor of WORD_GRAM words, the least by hash, and two documents that
@@ -44,6 +46,10 @@ WORD_GRAM = 36
 NONE = 0xFF
 #: Distinct blocks that are ordered at a time (groups are never cut).
 AT_A_TIME = 16_000
+#: Anchors of more distinct blocks than this are not ordered in one task.
+HOT = 2_000
+#: Up to so many hot anchors (8 bytes each) are broadcast.
+MOST_BROADCAST = 1_000_000
 PIECE = 1 << 20
 
 MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -224,7 +230,49 @@ def _zipped(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "id0 long, row long, doc_id long, z binary")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none", passage: int = PASSAGE) -> DataFrame:
+def hot_verdicts(rows: DataFrame, length: int, keep_first: bool) -> DataFrame:
+    """(h, ahead, n_starts, digest, many, f0, f1, f2, runs) of distinct blocks, without their meeting in a task: which of their starts share
+    length bytes with another block's (an earlier one's, if keep_first)."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        names = ["h", "ahead", "n_starts", "digest", "many", "f0", "f1", "f2", "start", "w0", "w1"]
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                t = b.slice(at, 256)
+                bodies = [x.as_py() for x in t.column(3)]
+                n_starts = t.column(2).to_numpy()
+                row = np.repeat(np.arange(len(bodies)), n_starts)
+                start = np.arange(len(row)) - np.repeat(np.cumsum(n_starts) - n_starts, n_starts)
+                raw = b"".join(xxhash.xxh3_128_digest(bodies[r][k : k + length]) for r, k in zip(row.tolist(), start.tolist(), strict=True))
+                w = np.frombuffer(raw, "<i8").reshape(-1, 2)
+                digests = np.array([xxhash.xxh64_intdigest(x, 42) for x in bodies], np.uint64).view(np.int64)
+                own = [t.column(0).to_numpy(), t.column(1).to_numpy(), n_starts, digests, t.column(4).to_numpy() > 1, *(t.column(k).to_numpy() for k in (5, 6, 7))]
+                cols = [*(c[row] for c in own), start.astype(np.int32), w[:, 0].copy(), w[:, 1].copy()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+
+    found = rows.select("h", "ahead", "n_starts", "block", "n", "f0", "f1", "f2").mapInArrow(
+        windows, "h long, ahead int, n_starts int, digest long, many boolean, f0 long, f1 long, f2 int, start int, w0 long, w1 long"
+    )
+    found = stored(found, "hot-starts")
+    place = F.struct("f0", "f1", (F.col("f2") + F.col("start")).alias("at"))
+    # A row for each different string; checkpointed, so that the join has exchanges of its own and can split a hot one.
+    same = checkpointed(found.groupBy("w0", "w1").agg(F.count("*").alias("same"), F.min(place).alias("first")).where("same > 1"))
+    hit = found.join(same, ["w0", "w1"], "left")
+    is_hit = F.coalesce((F.col("same") > 1) & (place != F.col("first")) if keep_first else (F.col("same") > 1) | F.col("many"), F.lit(False) if keep_first else F.col("many"))
+    per = hit.groupBy("h", "ahead", "n_starts", "digest", "many", "f0", "f1", "f2").agg(F.array_sort(F.collect_list(F.when(is_hit, F.col("start")))).alias("starts"))
+    # Runs of starts become byte ranges; at most length starts a block.
+    runs = F.expr(
+        f"""aggregate(starts, cast(array() as array<struct<lo:int,hi:int>>), (acc, x) ->
+            if(size(acc) > 0 and element_at(acc, -1).hi = x - 1 + {length},
+               concat(slice(acc, 1, size(acc) - 1), array(struct(element_at(acc, -1).lo as lo, x + {length} as hi))),
+               concat(acc, array(struct(x as lo, x + {length} as hi)))))"""
+    )
+    return per.withColumn("runs", runs).where("many or size(runs) > 0").drop("starts")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none", passage: int = PASSAGE, hot_blocks: int = HOT) -> DataFrame:
     """(id0, row, spans array<struct<lo,hi>>, shared boolean): byte ranges covered by strings of length bytes that also start
     elsewhere, and whether another document has a passage of over passage words of this one; rows without either are left out.
 
@@ -330,9 +378,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
                 ["h", "ahead", "n_starts", "digest", "many", "f0", "f1", "f2", "runs"],
             )
 
-    ordered = distinct.repartition("h").sortWithinPartitions("h").mapInArrow(
-        order, "h long, ahead int, n_starts int, digest long, many boolean, f0 long, f1 long, f2 int, runs array<struct<lo:int,hi:int>>"
-    )
+    verdicts = "h long, ahead int, n_starts int, digest long, many boolean, f0 long, f1 long, f2 int, runs array<struct<lo:int,hi:int>>"
+
+    def ordered_of(rows: DataFrame) -> DataFrame:
+        return rows.repartition("h").sortWithinPartitions("h").mapInArrow(order, verdicts)
+
+    kinds = blocks.select("h", "ahead", "n_starts", digest.alias("digest")).distinct()
+    hot = checkpointed(kinds.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot_blocks).select("h"))
+    n_hot = hot.count()
+    if n_hot:
+        anchors_of = F.broadcast(hot) if n_hot <= MOST_BROADCAST else hot
+        told = hot_verdicts(distinct.join(anchors_of, "h", "left_semi"), length, keep_first).select(*[x.split()[0] for x in verdicts.split(", ")])
+        ordered = ordered_of(distinct.join(anchors_of, "h", "left_anti")).unionByName(told)
+    else:
+        ordered = ordered_of(distinct)
     slim = blocks.select("id0", "row", "lo", "h", "ahead", "n_starts", digest.alias("digest"))
     both = slim.join(ordered, own)
     runs = F.col("runs")
@@ -346,7 +405,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     return covered.unionByName(others).groupBy("id0", "row").agg(F.collect_set("span").alias("spans"), F.bool_or("shared").alias("shared"))
 
 
-def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none", with_text: bool = True, passage: int = PASSAGE) -> DataFrame:
+def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none", with_text: bool = True, passage: int = PASSAGE, hot_blocks: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept_sha256, shared[, text]) for each row of docs.
 
     spans: maximal byte ranges [lo, hi) that are removed; text: what is left (a character that is cut is
@@ -356,7 +415,7 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, kee
     each other; with keep="first", and for shared, rows that are the same in both doc_id and text count as one
     document. An empty table gives an empty table; other columns are not read.
     """
-    spans = repeated_spans(docs, length, gram, keep, passage)
+    spans = repeated_spans(docs, length, gram, keep, passage, hot_blocks)
     joined = _zipped(_keyed(docs)).join(spans, ["id0", "row"], "left").select("doc_id", "z", "spans", F.coalesce("shared", F.lit(False)).alias("shared"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -82,7 +82,11 @@ def test_random_repeats(spark, length, gram, keep, monkeypatch):
     texts = ["".join(rng.choice(stock)[rng.randrange(4) : rng.randrange(5, 90)] + "".join(rng.choice(words) for _ in range(rng.randrange(20))) for _ in range(rng.randrange(5))) for _ in range(60)]
     texts += ["a" * 150, "ab" * 90, "\0" * 70, texts[3] + texts[7], texts[3] + texts[7]]
     frame = docs(spark, texts).repartition(3)
-    assert result(suffix_dedup.substring_dedup(frame, length, gram, keep)) == sorted(slow(list(enumerate(texts)), length, keep == "first"))
+    want = sorted(slow(list(enumerate(texts)), length, keep == "first"))
+    assert result(suffix_dedup.substring_dedup(frame, length, gram, keep)) == want
+    # Every group, or the larger ones, told by hashes of windows.
+    for hot_blocks in (0, 2):
+        assert result(suffix_dedup.substring_dedup(frame, length, gram, keep, hot_blocks=hot_blocks)) == want
 
 
 def test_odd_rows(spark):
@@ -100,3 +104,12 @@ def test_one_passage_in_most_documents(spark):
     texts = [f"{i} {rng.random()} {passage} {rng.random()}" for i in range(200)] + [f"{rng.random()}" * 40 for i in range(50)]
     got = suffix_dedup.substring_dedup(docs(spark, texts)).toPandas()
     assert (got[got.doc_id < 200].n_removed >= 700).all() and (got[got.doc_id < 200].n_removed < 720).all()
+
+
+def test_medium_table_against_brute_force(spark, medium):
+    d = pd.read_parquet(f"{medium}/documents.parquet")
+    rows = list(zip(d.doc_id, d.text, strict=True))
+    found = suffix_dedup.op4_suffix_dedup(spark, medium).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == sorted(slow(rows, 400))
+    shared = {r.doc_id for r in found if r.shared}
+    assert slow_shared(rows, 51) <= shared <= slow_shared(rows, 36)
