@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sources.shared import application_dir, shared_dir
+
 WORD_SPLIT = r"[^\x20\x09-\x0D]+"
 
 
@@ -18,26 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or one of our own in tests."""
-    kept = spark.conf.get("spark.checkpoint.dir", None)
-    if not kept:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        kept = tempfile.mkdtemp(prefix="quire-shared-")
-        spark.conf.set("spark.checkpoint.dir", kept)
-        import atexit
-
-        atexit.register(shutil.rmtree, kept, ignore_errors=True)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(kept)
-    return kept
-
-
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """df written to the shared folder and read again: cuts lineage and outlives executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quire-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{application_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

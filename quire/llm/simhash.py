@@ -207,7 +207,8 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_first(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -> DataFrame:
     """docs without the documents that are near copies of one with a smaller doc_id; all columns stay.
 
-    Rows without doc_id stay. Rows that repeat a doc_id stay or go together.
+    Rows without doc_id stay. Rows that repeat a doc_id stay or go together, as one of them links to a smaller id or none
+    does. Null and empty texts are copies of each other, so the one with the smallest doc_id stays. An empty table stays empty.
     """
     away = simhash_groups(docs, words, budget).where("doc_id <> component_id").select(F.col("doc_id").alias("__quire_away")).distinct()
     return docs.join(away, docs.doc_id == F.col("__quire_away"), "left_anti")
