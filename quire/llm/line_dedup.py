@@ -40,6 +40,8 @@ BANDS = PASSES * BINS // ROWS
 BITS = 1 << 26
 CHUNK = 2_000
 PIECE = 1 << 20
+#: Characters whose signatures are made at a time; more leave the processor's cache and take twice as long.
+SLICE = 1 << 16
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
@@ -125,6 +127,17 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def bands_of(keys: list[str], shingle: int = SHINGLE) -> np.ndarray:
+    """bands(signatures(keys)), made in slices of about SLICE characters."""
+    out, at, size = [], 0, 0
+    for k, key in enumerate(keys, 1):
+        size += len(key)
+        if size >= SLICE or k == len(keys):
+            out.append(bands(signatures(keys[at:k], shingle)))
+            at, size = k, 0
+    return np.concatenate(out)
+
+
 def links(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
     """Links (of threshold or more) that join every component of the sets, without comparing all pairs."""
     root = list(range(len(sets)))
@@ -186,7 +199,7 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
                         seen[h] = key
                         size += len(key)
                 if seen and (size >= PIECE or k == b.num_rows - 1):
-                    value = bands(signatures(list(seen.values()), shingle))
+                    value = bands_of(list(seen.values()), shingle)
                     yield pa.RecordBatch.from_arrays([pa.array(value.ravel()), pa.array(np.repeat(np.fromiter(seen, np.int64, len(seen)), BANDS))], ["band", "h"])
                     seen, size = {}, 0
 
@@ -278,11 +291,13 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
         for t in whole_groups(batches, ["band", "i", "j"], 5_000):
             at = [np.asarray(t.column(c)) for c in ("band", "i", "j")]
             cut = np.flatnonzero(np.any([c[1:] != c[:-1] for c in at], axis=0)) + 1
-            h, key = t.column("h").to_numpy(), t.column("key").to_pylist()
+            # A key stands in several bands and chunks; its set is made once.
+            h, coded = t.column("h").to_numpy(), t.column("key").combine_chunks().dictionary_encode()
+            own, which = shingle_sets(coded.dictionary.to_pylist(), shingle), coded.indices.to_pylist()
             a: list[int] = []
             b: list[int] = []
             for lo, hi in zip([0, *cut], [*cut, t.num_rows], strict=True):
-                for x, y in links(shingle_sets(key[lo:hi], shingle), threshold):
+                for x, y in links([own[k] for k in which[lo:hi]], threshold):
                     a.append(h[lo + x])
                     b.append(h[lo + y])
             if a:
@@ -300,7 +315,8 @@ def line_verdicts(docs: DataFrame, threshold: float = THRESHOLD, shingle: int =
     roots = checkpointed(roots)
     comp = again.join(roots, again.h == roots.node, "left_anti").select("h", F.col("h").alias("root")).unionByName(roots.select(F.col("node").alias("h"), "root"))
     shared = checkpointed(occurrences.join(comp, "h").select("root", "id0", "row", "n"))
-    first = shared.groupBy("root").agg(F.min(F.struct("id0", "n", "row")).alias("first"))
+    # Checkpointed, so that the join has exchanges of its own and can split a large component.
+    first = checkpointed(shared.groupBy("root").agg(F.min(F.struct("id0", "n", "row")).alias("first")))
     return shared.join(first, "root").where("not (id0 = first.id0 and n = first.n and row = first.row)").groupBy("id0", "row").agg(F.sort_array(F.collect_set("n")).alias("gone"))
 
 
