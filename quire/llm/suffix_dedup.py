@@ -50,7 +50,8 @@ AT_A_TIME = 16_000
 HOT = 2_000
 #: Up to so many hot anchors (8 bytes each) are broadcast.
 MOST_BROADCAST = 1_000_000
-PIECE = 1 << 20
+#: Bytes whose anchors are found at a time; more leave the processor's cache.
+PIECE = 1 << 17
 
 MUL = np.uint64(0x9E3779B97F4A7C15)
 
