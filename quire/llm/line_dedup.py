@@ -138,6 +138,10 @@ def bands_of(keys: list[str], shingle: int = SHINGLE) -> np.ndarray:
     return np.concatenate(out)
 
 
+#: Sets that are compared one by one before the others are at once.
+TRIED = 6
+
+
 def links(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
     """Links (of threshold or more) that join every component of the sets, without comparing all pairs."""
     root = list(range(len(sets)))
@@ -151,11 +155,18 @@ def links(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
     size = np.array([len(s) for s in sets])
     out: list[tuple[int, int]] = []
     left, parts = np.arange(len(sets)), len(sets)
+    # The shingles of all sets as numbers from 0, so that whether a pivot has them is read from a table.
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(sets) > 1 else np.zeros(0, np.int64)
+    ends = np.cumsum(size)
+    has = np.zeros(int(number.max()) + 1 if len(number) else 0, bool)
+    values = number
     while len(left) > 1 and parts > 1:
         p, left = int(left[0]), left[1:]
-        pivot, values = sets[p], np.concatenate([sets[x] for x in left])
-        at = np.minimum(np.searchsorted(pivot, values), len(pivot) - 1)
-        both = np.add.reduceat((pivot[at] == values).astype(np.int64), np.cumsum(size[left]) - size[left])
+        pivot, values = sets[p], values[size[p] :]
+        own = number[ends[p] - size[p] : ends[p]]
+        has[own] = True
+        both = np.add.reduceat(has[values].astype(np.int32), np.cumsum(size[left]) - size[left])
+        has[own] = False
         alike = both / (size[left] + len(pivot) - both)
         near = left[alike >= threshold]
         near = near[np.argsort(-alike[alike >= threshold], kind="stable")].tolist()
@@ -164,15 +175,26 @@ def links(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
                 root[find(x)] = find(p)
                 parts -= 1
                 out.append((p, x))
-        for x in left[(alike < threshold) & (alike >= 2 * threshold - 1)].tolist() if near else ():
-            if find(x) != find(p):
-                for y in near:
-                    if jaccard(sets[x], sets[y]) >= threshold:
-                        root[find(x)] = find(p)
-                        parts -= 1
-                        out.append((x, y))
-                        break
-        left = left[alike < threshold]
+        between = left[(alike < threshold) & (alike >= 2 * threshold - 1)].tolist() if near else []
+        rest = np.array(near[TRIED:], np.int64)
+        flat = np.concatenate([number[ends[y] - size[y] : ends[y]] for y in rest]) if len(rest) and between else None
+        for x in between:
+            if find(x) == find(p):
+                continue
+            hit = next((y for y in near[:TRIED] if jaccard(sets[x], sets[y]) >= threshold), None)
+            if hit is None and flat is not None:  # the others, all at once
+                own = number[ends[x] - size[x] : ends[x]]
+                has[own] = True
+                both = np.add.reduceat(has[flat].astype(np.int32), np.cumsum(size[rest]) - size[rest])
+                has[own] = False
+                found = np.flatnonzero(both / (size[x] + size[rest] - both) >= threshold)
+                hit = int(rest[found[0]]) if len(found) else None
+            if hit is not None:
+                root[find(x)] = find(p)
+                parts -= 1
+                out.append((x, hit))
+        away = alike < threshold
+        values, left = values[np.repeat(away, size[left])], left[away]
     return out
 
 
