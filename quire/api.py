@@ -94,6 +94,30 @@ class Corpus:
         compare = plan.intent.mode == "compare" and bool(route.title_work_ids and route.target_works) and not route.author_groups
         return replace(route, compare_sources=compare), plan
 
+    @staticmethod
+    def _channels(plan: query.Plan, route: Route, groups: list[dict]) -> list[tuple[Route, dict]]:
+        """What is asked of the index within the route, in order: all terms, each detail by itself, each object of a comparison."""
+        details = dict.fromkeys(x for x in [*plan.quoted, *plan.focus] if len(x) >= 2)
+        objects = groups if len(groups) > 1 else []
+        return [
+            (route, {"channel": "all-bigrams"}),
+            *((route, {"terms": [t], "beside": plan.topics if plan.focus else None, "channel": "query-detail"}) for t in details),
+            *((replace(route, work_ids=tuple(g["work_ids"])), {"channel": "comparison-object"}) if g.get("work_ids") else (route, {"terms": [g["term"]], "channel": "comparison-object"}) for g in objects),
+        ]
+
+    @staticmethod
+    def _gather(rows: dict[str, dict], more: list[dict]) -> None:
+        """What earlier channels found stays as they found it."""
+        for r in more:
+            rows.setdefault(r["id"], r)
+
+    def _widen(self, rows: dict[str, dict], plan: query.Plan, route: Route, scope: Scope, limits: Limits, scoped: bool = True) -> bool:
+        """Asks for any bigram of the terms where what was found doesn't suffice; whether it did."""
+        if not plan.terms or self._enough(list(rows.values()), plan, route, scoped):
+            return False
+        self._gather(rows, self.pool(plan, route, scope, limits, True, channel="broad-bigrams"))
+        return True
+
     def search(self, text: str, terms: str | None = None, canon: str = "auto", work: str = "auto", layers: str = "all", author: str | None = None, limits: Limits | None = None, route_fallback: bool = True) -> dict:
         """The cascade; a dict of the query's plan and route, results, alternatives, coverage, omissions and what to clarify."""
         began, limits = time.perf_counter(), limits or Limits()
@@ -103,34 +127,22 @@ class Corpus:
             own = ("core",)
         scope = Scope(canon, work, own, author, route.work_ids if author else ())
         groups = query.comparison_groups(route, plan, self.works)
-        rows: list[dict] = []
-
-        def add(more: list[dict], to: list[dict]) -> None:
-            seen = {r["id"] for r in to}
-            to += [r for r in more if r["id"] not in seen]
-
-        add(self.pool(plan, route, scope, limits, channel="all-bigrams"), rows)
-        for t in dict.fromkeys(x for x in [*plan.quoted, *plan.focus] if len(x) >= 2):
-            add(self.pool(plan, route, scope, limits, terms=[t], beside=plan.topics if plan.focus else None, channel="query-detail"), rows)
-        for g in groups if len(groups) > 1 else ():
-            one = replace(route, work_ids=tuple(g["work_ids"])) if g.get("work_ids") else route
-            add(self.pool(plan, one, scope, limits, terms=None if g.get("work_ids") else [g["term"]], channel="comparison-object"), rows)
-        broad = not self._enough(rows, plan, route) and bool(plan.terms)
-        if broad:
-            add(self.pool(plan, route, scope, limits, True, channel="broad-bigrams"), rows)
+        rows: dict[str, dict] = {}
+        for at, asked in self._channels(plan, route, groups):
+            self._gather(rows, self.pool(plan, at, scope, limits, **asked))
+        broad = self._widen(rows, plan, route, scope, limits)
+        rows = list(rows.values())
         enough = self._enough(rows, plan, route)
 
         alternatives, promoted = [], False
         explicit = canon != "auto" or work != "auto" or bool(author)
         if route_fallback and not explicit and not route.hard_scope and route.scoped and not enough:
-            relaxed, wide, other = route.relaxed(), Scope(layers=own), []
-            add(self.pool(plan, relaxed, wide, limits, channel="all-bigrams"), other)
-            if not self._enough(other, plan, relaxed, False) and plan.terms:
-                broad = True
-                add(self.pool(plan, relaxed, wide, limits, True, channel="broad-bigrams"), other)
-            if self._enough(other, plan, relaxed, False):
+            relaxed, wide, other = route.relaxed(), Scope(layers=own), {}
+            self._gather(other, self.pool(plan, relaxed, wide, limits, channel="all-bigrams"))
+            broad |= self._widen(other, plan, relaxed, wide, limits, False)
+            if self._enough(list(other.values()), plan, relaxed, False):
                 inside = {r["id"] for r in rows}
-                alternatives = [r for r in other if r["id"] not in inside]
+                alternatives = [r for r in other.values() if r["id"] not in inside]
                 promoted = plan.intent.source_lookup and plan.intent.mode != "compare" and self._enough(alternatives, plan, relaxed, False)
         shown = alternatives if promoted else rows
         scoped = bool(route.author_groups or route.title_work_ids) and not promoted

@@ -229,8 +229,9 @@ def budget_fit(spark, t):
 
 
 def _pool(spark, t):
-    """Candidates of one query for each term, with their scores."""
-    ranked = index.scan_bm25(_sets(t), list(enumerate(TERMS)))
+    """Candidates of one query for each term, from the stored index, with their scores; only their texts are read."""
+    stored = stored_index(spark, t)
+    ranked = index.bm25(stored.hits(index.grams_of(TERMS)), stored.totals, index.groups(spark, list(enumerate(TERMS))))
     top = rank.capped(ranked, ["query"], [F.col("rank"), F.col("id")], 240).drop("place")
     rows = top.join(t("documents").withColumnRenamed("doc_id", "id"), "id").select(
         "query", F.col("id"), F.col("source").alias("work_id"), F.col("id").alias("sequence"), F.when(F.col("lang") == "en", "core").otherwise("commentary").alias("layer"), F.concat_ws(" ", "lang", "source").alias("place"), "text", "rank"

@@ -587,3 +587,9 @@ def value_rules(spark, t):
     """Rules of values: rows that break one, with the names of those that they break."""
     bad = readers.required(t("orders"), {"date": (F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp")) | (F.col("o_totalprice") >= 150000), "status": F.col("o_orderstatus").isin("F", "O")})
     return bad.select("o_orderkey", F.array_contains("broken", "date").alias("broken_date"), F.array_contains("broken", "status").alias("broken_status"))
+
+
+@query("SELECT p_partkey, 'https://w.test/index?title=' || replace(url_encode(p_name), '+', '%20') || '&oldid=' || p_size AS url FROM part")
+def revision_urls(spark, t):
+    """The address of a fixed revision."""
+    return t("part").select("p_partkey", X.fixed_revision_url("https://w.test/index", F.col("p_name"), F.col("p_size")).alias("url"))
