@@ -1,8 +1,8 @@
 """The inverted index as DataFrames: postings, lengths, statistics; and its use by BM25 with satisfied groups.
 
 An index is three tables: postings (id, tokens, gram, in_title, in_body), lengths (id, tokens) and the corpus totals.
-write_index() lays postings out by ranges of gram; a query's grams are literals of its filter, so that the statistics of row
-groups skip what has none of them. The tables of a version are written first and named in "current" last. Without a stored
+write_index() takes the grams of each text once, stores them beside its length and inverts what it stored. It lays postings out by
+ranges of gram; a query's grams are literals of its filter, so that the statistics of row groups skip what has none of them. The tables of a version are written first and named in "current" last. Without a stored
 index, the grams of the queries are taken straight from the texts.
 """
 
@@ -48,14 +48,23 @@ def totals(sets: DataFrame) -> DataFrame:
     return lengths(sets).agg(F.count("*").alias("n_docs"), F.avg("tokens").alias("avg_tokens"))
 
 
+#: Postings that one task sorts and writes, about.
+POSTINGS = 4_000_000
+
+
 def write_index(sets: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Writes a version of the index below path and then makes it the current one; a failed attempt leaves the old one current."""
+    """Writes a version of the index below path and then makes it the current one; a failed attempt leaves the old one current.
+
+    The folder lengths has the grams too: ranges need a pass of their own over the postings, and reading sets is cheaper than making them.
+    """
     spark, version = sets.sparkSession, uuid.uuid4().hex
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    exploded(sets).repartitionByRange(n, "gram", "id").sortWithinPartitions("gram", "id").write.parquet(f"{path}/{version}/postings")
-    lengths(sets).write.parquet(f"{path}/{version}/lengths")
-    spark.read.parquet(f"{path}/{version}/lengths").agg(F.count("*").alias("n_docs"), F.avg("tokens").alias("avg_tokens")).coalesce(1).write.parquet(f"{path}/{version}/totals")
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+    sets.select("id", tokens().alias("tokens"), "title_grams", "body_grams").write.parquet(f"{path}/{version}/lengths")
+    stored = spark.read.parquet(f"{path}/{version}/lengths")
+    stored.agg(F.count("*").alias("n_docs"), F.avg("tokens").alias("avg_tokens")).coalesce(1).write.parquet(f"{path}/{version}/totals")
+    made = spark.read.parquet(f"{path}/{version}/totals").select(F.col("n_docs") * F.coalesce("avg_tokens", F.lit(0.0))).first()[0]
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(made) // POSTINGS))
+    exploded(stored).repartitionByRange(n, "gram", "id").sortWithinPartitions("gram", "id").write.parquet(f"{path}/{version}/postings")
+    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
 
 
 class Index:
@@ -63,7 +72,8 @@ class Index:
 
     def __init__(self, spark: SparkSession, path: str):
         at = f"{path}/{spark.read.parquet(f'{path}/current').first().version}"
-        self.postings, self.lengths, self.totals = (spark.read.parquet(f"{at}/{t}") for t in ("postings", "lengths", "totals"))
+        self.postings, self.totals = (spark.read.parquet(f"{at}/{t}") for t in ("postings", "totals"))
+        self.lengths = spark.read.parquet(f"{at}/lengths").select("id", "tokens")
 
     def hits(self, grams: list[str]) -> DataFrame:
         """The postings of grams, which are few: they are those of a question."""

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from quire.functions import text as X
 from quire.functions.text import CJK_KEEP
 from quire.operators import context, index, packet, query, rank, retrieve
 
@@ -162,3 +163,29 @@ def test_rendering_of_packets():
     assert packet.markdown(urgent).index("call now") < packet.markdown(urgent).index(packet.DEFERRED) and packet.SEARCH_ONLINE in packet.rendered(urgent, "html")
     lost = one | {"core": [], "needs_clarification": {"required": True, "reason": "incomplete-comparison", "lacking": ["甲"]}}
     assert "甲" in packet.markdown(lost) and packet.NOTHING not in packet.markdown(lost) and packet.NOTHING in packet.markdown(one | {"core": []})
+
+
+def test_a_stored_index_takes_the_grams_of_a_text_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def seen(grams):
+        made.add(1)
+        return grams
+
+    s = sets(spark).withColumn("body_grams", seen("body_grams"))
+    index.write_index(s, str(tmp_path / "i"))
+    assert made.value == len(DOCS)
+    stored = index.Index(spark, str(tmp_path / "i"))
+    assert sorted(map(tuple, stored.postings.collect())) == sorted(map(tuple, index.exploded(sets(spark)).select(stored.postings.columns).collect()))
+    assert sorted(map(tuple, stored.lengths.collect())) == sorted(map(tuple, index.lengths(sets(spark)).collect()))
+    index.write_index(sets(spark).limit(0), str(tmp_path / "none"))
+    assert index.Index(spark, str(tmp_path / "none")).postings.count() == 0
+
+
+def test_only_texts_with_cjk_meet_the_tables(spark):
+    texts = ["Ça VA, ok", "問 五藏 Ab", "", None, "İ欬x", "痺鬬 9"]
+    frame = spark.createDataFrame([(x,) for x in texts], "x string")
+    plain = F.regexp_replace(X.replaced(F.lower(F.translate("x", X.QUERY_FROM, X.QUERY_TO)), X.QUERY_OVERRIDES), X.LETTER_KEEP, "")
+    assert all(a == b for a, b in frame.select(X.normalize_query(F.col("x"), X.LETTER_KEEP), plain).collect())
+    assert all(0x3400 <= ord(c) <= 0x9FFF for c in X.QUERY_FROM + "".join(a for a, _ in X.QUERY_OVERRIDES))
