@@ -233,7 +233,8 @@ def _pool(spark, t):
     stored = stored_index(spark, t)
     ranked = index.bm25(stored.hits(index.grams_of(TERMS)), stored.totals, index.groups(spark, list(enumerate(TERMS))))
     top = rank.capped(ranked, ["query"], [F.col("rank"), F.col("id")], 240).drop("place")
-    rows = top.join(t("documents").withColumnRenamed("doc_id", "id"), "id").select(
+    # top is 240 rows a term; without the hint, all texts would be dealt out by id before its size is known.
+    rows = F.broadcast(top).join(t("documents").withColumnRenamed("doc_id", "id"), "id").select(
         "query", F.col("id"), F.col("source").alias("work_id"), F.col("id").alias("sequence"), F.when(F.col("lang") == "en", "core").otherwise("commentary").alias("layer"), F.concat_ws(" ", "lang", "source").alias("place"), "text", "rank"
     )
     return rank.scored(rows, TERMS)

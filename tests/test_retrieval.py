@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as X
 from quire.functions.text import CJK_KEEP
 from quire.operators import context, index, packet, query, rank, retrieve
+from quire.plans import base, retrieval_queries
 
 DOCS = [("SW-1", "素问", "不治已病治未病"), ("SW-2", "素问", "阴阳者天地之道也"), ("LS-1", "灵枢", "治病必求于本"), ("NJ-1", "难经", "上工治未病中工治已病"), ("XX-1", "治未病论", "他说")]
 
@@ -198,3 +199,8 @@ def test_scores_need_no_bigrams_of_the_text(spark):
     got = {r.id: [(d.coverage, d.matched, d.of) for d in r.details] for r in out.collect()}
     assert got[0] == [(1.0, 1, 1), (0.0, 0, 2)] and got[1] == [(1.0, 1, 1), (0.0, 0, 2)]  # a single character only as a whole text
     assert got[2] == got[4] == [(0.0, 0, 1), (0.0, 0, 2)] and got[3] == got[5] == [(0.0, 0, 1), (1.0, 2, 2)]
+
+
+def test_texts_of_a_pool_are_not_dealt_out(spark, small):
+    plan = retrieval_queries._pool(spark, base.Tables(spark, small))._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
