@@ -66,15 +66,19 @@ def normalize_alias(text: Column) -> Column:
     return F.regexp_replace(F.lower(F.translate(text, EVIDENCE_FROM, EVIDENCE_TO)), " ", "")
 
 
-@F.pandas_udf(StringType())
-def nfkc(s):
-    """Unicode compatibility composition; Spark has no such function, so this is a vectorized Python one."""
-    return s.str.normalize("NFKC")
+def composed(text: Column, compatible: bool) -> Column:
+    """Unicode composition, compatibility forms too if compatible. Spark has no such function, but has ICU, whose static method is called
+    in the JVM; null, which that does not take, stays null."""
+    method = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(text, F.lit("")), F.lit(compatible))
+    return F.when(text.isNotNull(), method)
 
 
-@F.pandas_udf(StringType())
-def nfc(s):
-    return s.str.normalize("NFC")
+def nfkc(text: Column) -> Column:
+    return composed(text, True)
+
+
+def nfc(text: Column) -> Column:
+    return composed(text, False)
 
 
 def normalize_corpus(text: Column, drop: tuple = (), replacements: tuple = ()) -> Column:
