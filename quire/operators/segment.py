@@ -7,9 +7,8 @@ whole texts; everything around it is DataFrame expressions.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,14 +33,12 @@ def _ends(text: str, marks: str) -> list[int]:
 def bounded_cuts(text: str, least: int = LEAST, most: int = MOST) -> list[int]:
     """G1: where the pieces of text end. A piece is at most most long and ends at the last full stop that leaves it least
     long at least, else at such a pause, else at most; closing marks stay with what they close if there is room."""
-    ends = [_ends(text, FULL_STOPS), _ends(text, PAUSES)]
     out, start, n = [], 0, len(text)
     while n - start > most:
         limit, cut = start + most, 0
-        for places in ends:
-            k = bisect_right(places, limit) - 1
-            if k >= 0:
-                at = places[k]
+        for marks in (FULL_STOPS, PAUSES):
+            at = max(text.rfind(c, max(start + least - 2, 0), limit) for c in marks) + 1  # a mark before that is too early even if closed
+            if at:
                 closed = at + 1 if at < limit and text[at] in CLOSERS else at
                 if closed >= start + least:
                     cut = closed
@@ -59,7 +56,13 @@ def sentence_ends(text: str) -> list[int]:
     return out if out and out[-1] == len(text) else [*out, len(text)]
 
 
+#: A character with which any issue begins.
+SUSPECT = re.compile("[〔HK滚滾\ufffd\ue000-\uf8ff\U000f0000-\U000ffffd\U00100000-\U0010fffd]")
+
+
 def issues_of(text: str) -> dict[str, int]:
+    if not SUSPECT.search(text):
+        return {}
     found = {k: len(p.findall(text)) for k, p in PATTERNS}
     return {k: n for k, n in found.items() if n}
 
@@ -67,7 +70,11 @@ def issues_of(text: str) -> dict[str, int]:
 def semantic_pieces(text: str, speaker_type: str | None, least: int = LEAST, most: int = MOST) -> list[tuple[int, int, dict[str, int]]]:
     """Bounded pieces, where what has an issue stays apart. A sentence with issues (in dialogue the whole turn) is
     cut by itself and gives its issues to all its pieces; clean sentences beside each other are cut together."""
-    ends = [len(text)] if speaker_type == "dialogue" or not issues_of(text) else sentence_ends(text)
+    whole = issues_of(text)
+    if not whole:
+        cuts = bounded_cuts(text, least, most)
+        return [(a, b, {}) for a, b in zip([0, *cuts], cuts, strict=False)]
+    ends = [len(text)] if speaker_type == "dialogue" else sentence_ends(text)
     runs: list[tuple[int, int, dict[str, int]]] = []
     for start, end in zip([0, *ends], ends, strict=False):
         own = issues_of(text[start:end])
@@ -82,17 +89,30 @@ def semantic_pieces(text: str, speaker_type: str | None, least: int = LEAST, mos
     return out
 
 
-PIECE = "array<struct<start:int,end:int,issues:map<string,bigint>,text:string>>"
+PLACE = "start:int,end:int,issues:map<string,bigint>"
+#: Texts that are Python objects at a time.
+TEXTS = 256
 
 
-def pieces(text: Column, speaker_type: Column | None = None, least: int = LEAST, most: int = MOST) -> Column:
-    """Array of pieces of each text, with their own text; null text has none."""
+def pieces(text: Column, speaker_type: Column | None = None, least: int = LEAST, most: int = MOST, with_text: bool = True) -> Column:
+    """Array of pieces of each text, with their own text unless that isn't wanted; null text has none.
+
+    Of a batch only a few texts at a time become Python objects; the rest stays as it came."""
     if not most > least >= 1:
         raise ValueError("most must be above least, and least 1 or more")
-
-    @F.pandas_udf(PIECE)
-    def cut(t: pd.Series, s: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": a, "end": b, "issues": i, "text": x[a:b]} for a, b, i in semantic_pieces(x, y, least, most)] if x is not None else [] for x, y in zip(t, s, strict=True)])
+    fields = [("start", pa.int32()), ("end", pa.int32()), ("issues", pa.map_(pa.string(), pa.int64())), *([("text", pa.string())] if with_text else [])]
+    kind = pa.list_(pa.struct(fields))
+
+    def one(x: str | None, y: str | None) -> list[tuple]:
+        return [(a, b, list(i.items()), *([x[a:b]] if with_text else [])) for a, b, i in semantic_pieces(x, y, least, most)] if x is not None else []
+
+    @F.arrow_udf(f"array<struct<{PLACE}{',text:string' if with_text else ''}>>")
+    def cut(t: pa.Array, s: pa.Array) -> pa.Array:
+        done = []
+        for k in range(0, len(t), TEXTS):
+            parts = zip(t.slice(k, TEXTS).to_pylist(), s.slice(k, TEXTS).to_pylist(), strict=True)
+            done.append(pa.array([one(x, y) for x, y in parts], kind))
+        return pa.concat_arrays(done) if done else pa.array([], kind)
 
     return cut(text, F.lit("") if speaker_type is None else speaker_type)
 
