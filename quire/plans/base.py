@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Small rows of which each makes much work, dealt to all cores: their file is too small to be read by as many tasks."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 class Tables:
     """Reads the tables of a folder by name."""
 

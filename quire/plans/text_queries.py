@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators import build, extract, quality, rank, segment, titles
-from quire.plans.base import NORM, gram_set_sql, grams_sql, query
+from quire.plans.base import NORM, gram_set_sql, grams_sql, query, spread
 from quire.sources import readers, shared
 
 LETTERS = X.LETTER_KEEP
@@ -110,7 +110,7 @@ def link_counts(spark, t):
 @query()
 def bounded_split(spark, t):
     """G1 over whole documents; tested by its own rules."""
-    cut = t("documents").select("doc_id", F.posexplode(segment.pieces(F.col("text"))).alias("place", "p"))
+    cut = t("documents").select("doc_id", F.posexplode(segment.pieces(F.col("text"), with_text=False)).alias("place", "p"))
     return cut.select("doc_id", F.col("place").cast("long").alias("place"), F.col("p.start").cast("long").alias("start"), F.col("p.end").cast("long").alias("end"))
 
 
@@ -542,7 +542,7 @@ SELECT p_partkey, k::BIGINT AS place, (k * 630)::BIGINT AS start, CASE WHEN n -
 def bounded_pieces(spark, t):
     """Texts of sentences of 90 characters, cut after the last that fits in 700."""
     text = F.repeat(F.concat(F.repeat(F.lit("x"), F.lit(89)), F.lit("。")), F.col("p_size"))
-    cut = t("part").select("p_partkey", F.posexplode(segment.pieces(text)).alias("place", "p"))
+    cut = spread(t("part").select("p_partkey", "p_size")).select("p_partkey", F.posexplode(segment.pieces(text, with_text=False)).alias("place", "p"))
     return cut.select("p_partkey", F.col("place").cast("long").alias("place"), F.col("p.start").cast("long").alias("start"), F.col("p.end").cast("long").alias("end"))
 
 
@@ -552,7 +552,7 @@ def semantic_pieces(spark, t):
     """The sentence with an issue stays apart, clean ones beside each other together."""
     k = F.col("p_partkey")
     text = F.concat(F.repeat(F.lit("甲乙。"), (k % 4).cast("int")), F.lit("丙HT丁。"), F.repeat(F.lit("戊己。"), (k % 3).cast("int")))
-    cut = t("part").select("p_partkey", F.explode(segment.pieces(text, F.lit("core_text"))).alias("p"))
+    cut = spread(t("part").select("p_partkey")).select("p_partkey", F.explode(segment.pieces(text, F.lit("core_text"), with_text=False)).alias("p"))
     total = F.aggregate(F.map_values("p.issues"), F.lit(0).cast("long"), lambda a, x: a + x)
     return cut.select("p_partkey", F.col("p.start").cast("long").alias("start"), F.col("p.end").cast("long").alias("end"), total.alias("issues"))
 
