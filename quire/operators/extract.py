@@ -10,11 +10,11 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import CJK, clean_plain, wiki_text
+from quire.functions.text import CJK, nfc, plain_text, wiki_text
 
 OPEN, CLOSE = "⟦", "⟧"
 ROUNDS = 20
@@ -172,6 +172,9 @@ def lines_marked(text: str, source: str = "", author: str = "") -> str:
 
 MARK = re.compile(rf"{OPEN}(H:\d:[^{CLOSE}]*|N:[^{CLOSE}]*|/N|Q|/Q){CLOSE}")
 TOKEN = "array<struct<kind:string,level:int,speaker:string,role:string,text:string>>"
+TOKENS = pa.list_(pa.struct([("kind", pa.string()), ("level", pa.int32()), ("speaker", pa.string()), ("role", pa.string()), ("text", pa.string())]))
+#: Pages that are Python objects at a time.
+PAGES = 64
 
 
 def tokens(text: str, source: str = "") -> list[dict]:
@@ -196,6 +199,16 @@ def tokens(text: str, source: str = "") -> list[dict]:
     return out
 
 
+def walked(raw: pa.Array, source: pa.Array, author: pa.Array, glyphs: Glyphs) -> pa.Array:
+    """C1 to C11's tokens of pages, their texts cleaned. Only a few pages at a time become Python objects; the rest stays as it came."""
+    done = []
+    for k in range(0, len(raw), PAGES):
+        some = zip(*(c.slice(k, PAGES).to_pylist() for c in (raw, source, author)), strict=True)
+        found = (tokens(wiki_text(expanded(t or "", s or "", glyphs, a or "")[0]), s or "") for t, s, a in some)
+        done.append(pa.array([[{**x, "text": plain_text(x["text"])} for x in page] for page in found], TOKENS))
+    return pa.concat_arrays(done) if done else pa.array([], TOKENS)
+
+
 def default_speaker(source: Column, layer: Column, author: Column) -> tuple[Column, Column]:
     """(speaker, role) of a work where nothing else is said."""
     special = F.create_map(*[F.lit(x) for kv in DEFAULT_SPEAKERS.items() for x in kv])
@@ -217,14 +230,13 @@ def blocks(pages: DataFrame, glyphs: Glyphs | None = None) -> DataFrame:
         if c not in pages.columns:
             pages = pages.withColumn(c, F.lit(None).cast("string"))
 
-    @F.pandas_udf(TOKEN)
-    def walk(raw: pd.Series, source: pd.Series, author: pd.Series) -> pd.Series:
-        every = zip(raw, source, author, strict=True)
-        return pd.Series([tokens(wiki_text(expanded(t or "", s or "", glyphs, a or "")[0]), s or "") for t, s, a in every])
+    @F.arrow_udf(TOKEN)
+    def walk(raw: pa.Array, source: pa.Array, author: pa.Array) -> pa.Array:
+        return walked(raw, source, author, glyphs)
 
     told = pages.select("source_id", "page_no", "layer", F.coalesce("author", F.lit("")).alias("author"), volume_of(F.coalesce("parent_title", "title", F.lit(""))).alias("page_volume"), "raw")
     rows = told.select("source_id", "page_no", "layer", "author", "page_volume", F.posexplode(walk("raw", "source_id", "author")).alias("token_no", "t")).select("source_id", "page_no", "layer", "author", "page_volume", "token_no", "t.*")
-    rows = rows.withColumn("text", F.when(F.col("kind") == "heading", clean_plain(F.col("text"))).otherwise(F.col("text"))).where("kind <> 'heading' or text <> ''")
+    rows = rows.where("kind <> 'heading' or text <> ''")
     heading, level = F.col("kind") == "heading", F.col("level")
     is_volume = heading & (level <= 2) & F.contains("text", F.lit("卷"))
     is_section = heading & ~is_volume & (level <= 3)
@@ -258,9 +270,9 @@ def blocks(pages: DataFrame, glyphs: Glyphs | None = None) -> DataFrame:
 
 
 def spoken(rows: DataFrame) -> DataFrame:
-    """C6 to C8 and the roles of C11: rows (text, noted, role) cut where a named speaker begins, as piece_no; the part before
+    """C6 to C8 and the roles of C11: rows (text, noted, role) of cleaned text cut where a named speaker begins, as piece_no; the part before
     keeps its speaker. Original text in which another one speaks is dialogue. One work's texts are cut where its note begins."""
-    cleaned = rows.withColumn("text", clean_plain(F.col("text"))).where(F.col("text").rlike(rf"{CJK}|[A-Za-z0-9]"))
+    cleaned = rows.where(F.col("text").rlike(rf"{CJK}|[A-Za-z0-9]"))
     mixed = F.col("source_id") == TEXT_AND_NOTE
     begins = F.when(F.col("text").rlike("^(?:論|论)曰"), F.lit(1)).otherwise(F.regexp_instr("text", F.lit("(?:註|注)曰")))
     part = lambda a, b, who, what: F.struct(F.substring(F.col("text"), a, b).alias("t"), who.alias("who"), what.alias("what"))
@@ -269,7 +281,8 @@ def spoken(rows: DataFrame) -> DataFrame:
     roles = cleaned.withColumn("own", F.when(mixed & (begins > 0), F.filter(two, lambda x: x["t"] != "")).otherwise(F.array(whole)))
     pieces = F.flatten(F.transform("own", lambda x: F.transform(F.split(F.regexp_replace(x["t"], SPEAKER_AT, "\x01"), "\x01"), lambda y: F.struct(y.alias("t"), x["who"].alias("who"), x["what"].alias("what")))))
     cut = roles.select("*", F.posexplode(pieces).alias("piece_no", "x"))
-    cut = cut.withColumns({"text": clean_plain(F.col("x.t")), "noted": F.col("x.who"), "role": F.col("x.what")}).where("text <> ''")
+    # A piece of cleaned text has no white space but single spaces that stay; a mark from the line after may only now meet its letter.
+    cut = cut.withColumns({"text": F.trim(nfc(F.col("x.t"))), "noted": F.col("x.who"), "role": F.col("x.what")}).where("text <> ''")
     label = F.regexp_extract("text", rf"^({SPEAKERS})(?:氏)?(?:問|问|對|对|答)?(?:曰|云|按)", 1)
     names = F.create_map(*[F.lit(x) for kv in SPEAKER_NAMES.items() for x in kv])
     speaker = F.when(label != "", F.coalesce(F.try_element_at(names, label), label)).otherwise(F.col("noted"))

@@ -127,6 +127,23 @@ def test_blocks_carry_headings_across_pages(spark):
     assert (by["文三"].volume, by["文三"].section) == ("卷二", "無") and (by["文四"].volume, by["文四"].section) == ("卷三", "無")
 
 
+def test_pages_become_objects_a_few_at_a_time(spark, monkeypatch):
+    pages = [("s", k, f"== 卷{k} ==\ne\n\u0301 文 注{k}。帝曰：\u3000善 a", "", "core", "某") for k in range(3)]
+    found = extract.blocks(spark.createDataFrame(pages, PAGES))
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1  # each one more has a worker of its own in every task
+    got = [(r.page_no, r.volume, r.text, r.speaker) for r in found.orderBy("page_no", "piece_no").collect()]
+    assert got == [row for k in range(3) for row in [(k, f"卷{k}", f"\u00e9 文注{k}。", "原典"), (k, f"卷{k}", "帝曰： 善 a", "黄帝")]]
+    seen, kept = [], extract.tokens
+    monkeypatch.setattr(extract, "PAGES", 2)
+    monkeypatch.setattr(extract, "tokens", lambda text, source: seen.append(text) or kept(text, source))
+    made, array = [], extract.pa.array
+    monkeypatch.setattr(extract.pa, "array", lambda rows, kind: made.append((len(rows), len(seen))) or array(rows, kind))
+    raw = array([*(r[2] for r in pages), None, "尾"])
+    out = extract.walked(raw, array(["s"] * 5), array([None, "某", "", "某", "某"]), extract.Glyphs()).to_pylist()
+    assert made == [(2, 2), (2, 4), (1, 5)] and [len(x) for x in out] == [2, 2, 2, 0, 1] and out[4][0]["text"] == "尾"
+    assert extract.walked(raw.slice(0, 0), raw.slice(0, 0), raw.slice(0, 0), extract.Glyphs()).to_pylist() == []
+
+
 def test_speakers_of_works(spark):
     rows = [
         ("commentary-jingui-xubin", 1, "本文註曰釋\n論曰說", "t", "commentary", "徐彬（清）"), ("commentary-x", 1, "文", "t", "commentary", "甲（清）"), ("lineage-x", 1, "文", "t", "lineage", "乙"),
